@@ -80,7 +80,7 @@ def map_texts(df: DataFrame, text: str, schema: T.StructType, step: Callable[[pa
     def run(batches):
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text))
-            texts = [x.encode("utf-8", "surrogatepass") if x else b"" for x in column.to_pylist()]
+            texts = [x.encode("utf-8") if isinstance(x, str) else x or b"" for x in column.to_pylist()]
             for a, b in steps([len(x) for x in texts], limit):
                 got = step(batch.slice(a, b - a), texts[a:b])
                 if got is not None:
@@ -89,6 +89,18 @@ def map_texts(df: DataFrame, text: str, schema: T.StructType, step: Callable[[pa
     return df.mapInArrow(run, schema)
 
 
+def add_columns(df: DataFrame, text: str, added: list[T.StructField], step: Callable[[pa.RecordBatch, list[bytes]], dict], limit: int = STEP_BYTES) -> DataFrame:
+    """df with columns added by map_texts; a column of df that has the name of an added one is replaced."""
+    names = {f.name.lower() for f in added}
+    passed = [f for f in df.schema.fields if f.name.lower() not in names]
+    schema = T.StructType([*(T.StructField(f.name, f.dataType, True) for f in passed), *added])
+
+    def both(rows, texts):
+        return {f.name: rows.column(rows.schema.get_field_index(f.name)) for f in passed} | step(rows, texts)
+
+    return map_texts(df, text, schema, both, limit)
+
+
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 #: True for the bytes 32 and 9 to 13.
 SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])

@@ -5,19 +5,48 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickloom.llm import packing
+from tickloom.llm import line_dedup, media, packing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = media.documents_as_media(table(spark, sf_dir, "documents"))
+    return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_line_dedup": op3_line_dedup,
+    "op8_media_columns": op8_media_columns,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_line_dedup": r"""
+WITH lines AS (
+    SELECT doc_id, row_id, unnest(range(1, len(parts) + 1)) AS i, unnest(parts) AS line
+    FROM (SELECT doc_id, row_number() OVER () AS row_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+),
+keyed AS (
+    SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+    FROM lines
+),
+hot AS (SELECT k FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT row_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(hot.k) AS n_dropped,
+    sha256(coalesce(string_agg(CASE WHEN hot.k IS NULL THEN line END, chr(10) ORDER BY i), '')) AS kept_sha256
+FROM keyed LEFT JOIN hot ON keyed.k = hot.k
+GROUP BY doc_id, row_id
+""",
+}
