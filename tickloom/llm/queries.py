@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import line_dedup, media, packing, quality, warc
+from tickloom.llm import line_dedup, media, minhash, packing, quality, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -39,6 +43,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": op3_line_dedup,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_warc": op7_warc,
     "op8_media_columns": op8_media_columns,
     "op9_best_fit_packing": op9_best_fit_packing,
