@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import line_dedup, media, minhash, packing, quality, warc
+from tickloom.llm import embed_dedup, line_dedup, media, minhash, packing, quality, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -42,6 +46,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op3_line_dedup": op3_line_dedup,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_warc": op7_warc,
@@ -50,6 +55,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_classifier": op10_quality_classifier,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op1_embedding_near_dedup": """
+WITH RECURSIVE v AS (
+    SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0
+),
+links AS (
+    SELECT a.vec_id AS src, b.vec_id AS dst FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+),
+reach AS (SELECT src AS id, src AS seen FROM links UNION SELECT r.id, l.dst FROM reach r JOIN links l ON r.seen = l.src),
+component AS (SELECT id, min(seen) AS component_id FROM reach GROUP BY id),
+n AS (SELECT src AS id, count(*) AS n_links FROM links GROUP BY src)
+SELECT e.vec_id, coalesce(n_links, 0)::BIGINT AS n_links, coalesce(component_id, e.vec_id) AS component_id, coalesce(component_id, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN component c ON e.vec_id = c.id LEFT JOIN n ON e.vec_id = n.id
+""",
     "op3_line_dedup": r"""
 WITH lines AS (
     SELECT doc_id, row_id, unnest(range(1, len(parts) + 1)) AS i, unnest(parts) AS line
