@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import embed_dedup, line_dedup, media, minhash, packing, quality, warc
+from tickloom.llm import embed_dedup, line_dedup, media, minhash, mixing, packing, quality, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "source", "n_tokens", "epoch", "block")
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op3_line_dedup": op3_line_dedup,
+    "op4_source_mixing": op4_source_mixing,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_warc": op7_warc,
     "op8_media_columns": op8_media_columns,
@@ -59,7 +64,7 @@ ORACLE_SQL: dict[str, str] = {
 WITH RECURSIVE v AS (
     SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
     WHERE embedding IS NOT NULL AND len(embedding) > 0
-        AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ),
 links AS (
     SELECT a.vec_id AS src, b.vec_id AS dst FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
@@ -86,4 +91,5 @@ SELECT doc_id, count(*) AS n_lines, count(hot.k) AS n_dropped,
 FROM keyed LEFT JOIN hot ON keyed.k = hot.k
 GROUP BY doc_id, row_id
 """,
+    "op4_source_mixing": mixing.MIX_SQL.format(documents="documents"),
 }
