@@ -180,3 +180,14 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     out = found.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """docs without all but one document of each group: the smallest doc_id stays, once; documents without one all stay."""
+    found = near_duplicates(docs, width, percent)
+    kept = found.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").count()
+    kept, _ = keep(kept, "kept")
+    stay = docs.filter("doc_id IS NOT NULL").join(kept.select("doc_id"), "doc_id", "left_semi")
+    if not kept.filter("count > 1").isEmpty():
+        stay = stay.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text"))).filter("_n = 1").drop("_n")
+    return stay.unionByName(docs.filter("doc_id IS NULL"))
