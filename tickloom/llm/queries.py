@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import embed_dedup, line_dedup, media, minhash, mixing, packing, quality, suffix_dedup, warc
+from tickloom.llm import embed_dedup, license_scan, line_dedup, media, minhash, mixing, packing, quality, suffix_dedup, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,14 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: a source is a tree of directories of 500 and 50 numbers, in which every tenth file is the licence file."""
+    name = F.when(F.col("doc_id") % 10 == 0, F.concat(F.lit("LICENSE."), "doc_id")).otherwise(F.concat("doc_id", F.lit(".txt")))
+    path = F.concat_ws("/", F.coalesce("source", F.lit("")), F.floor(F.col("doc_id") / 500), F.floor(F.col("doc_id") / 50), name)
+    files = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("file_id"), path.alias("path"), "text")
+    return license_scan.scan(files).withColumnRenamed("file_id", "doc_id")
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -56,6 +64,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
+    "op2_license_scan": op2_license_scan,
     "op3_line_dedup": op3_line_dedup,
     "op4_source_mixing": op4_source_mixing,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
