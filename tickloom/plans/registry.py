@@ -228,11 +228,11 @@ GAP = DAILY + f", t0 AS (SELECT *, row_number() OVER ({S}) - 1 AS t FROM b), tr
 @query(
     "n20_gap_drift",
     GAP + f"g AS (SELECT *, round({div('open - pc', lag('a0'))}, 8) AS gap FROM a), e AS (SELECT *, CASE WHEN abs(gap) >= 1.0 AND round(vr, 8) >= 1.5 THEN {{'t': t, 'g': gap, 'c': pc}} END AS e0 FROM g), "
-    f"l AS (SELECT *, last_value(e0 IGNORE NULLS) OVER ({S} ROWS BETWEEN 60 PRECEDING AND CURRENT ROW) AS e FROM e) SELECT symbol, date, (t - e.t)::BIGINT AS evgap_days_since, sign(e.g)::DOUBLE AS evgap_dir, round(e.g, 6) AS evgap_size_atr, round({dist('close', 'e.c')}, 6) AS evgap_ret_since FROM l",
+    f"l AS (SELECT *, last_value(e0 IGNORE NULLS) OVER ({S} ROWS BETWEEN 60 PRECEDING AND CURRENT ROW) AS e FROM e) SELECT symbol, date, (t - e.t)::DOUBLE AS evgap_days_since, sign(e.g)::DOUBLE AS evgap_dir, {r('e.g')} AS evgap_size_atr, {r(dist('close', 'e.c'))} AS evgap_ret_since FROM l",
     bars=False,
 )
 def n20_gap_drift(spark, sf):
     bars = B.daily_bars(B.table(spark, sf, "lineitem"))
     from tickloom.functions.exprs import by_symbol
 
-    return W.gap_drift(bars.withColumn("t", F.row_number().over(by_symbol()) - 1), 1.0, 1.5).withColumn("evgap_days_since", F.col("evgap_days_since").cast("long"))
+    return W.gap_drift(bars.withColumn("t", F.row_number().over(by_symbol()) - 1), 1.0, 1.5).withColumn("evgap_days_since", F.col("evgap_days_since").cast("double"))
