@@ -3,7 +3,7 @@
 Method: a common-prefix-aware distributed merge sort of suffixes. Sorting every suffix would move the corpus a hundred times over, so
 the suffix array is sparse: of every window of LENGTH bytes the position of its least hashed `GRAM`-byte string is an anchor, and
 only suffixes at anchors are sorted. Equal windows choose equal anchors at equal places, so two equal windows always meet among the
-suffixes that share their first GRAM bytes; about one position in 80 is an anchor, and every window belongs to exactly one.
+suffixes that share their first GRAM bytes; about one position in 90 is an anchor, and every window belongs to exactly one.
 
 A task sorts the anchored suffixes of its texts, each cut where the last window of its anchor ends, and writes them front-coded: for
 each suffix how long its common prefix with the one before is, and what follows. The runs are exchanged by a hash of the first GRAM
@@ -33,8 +33,8 @@ from pyspark.sql import types as T
 
 from tickloom.llm.common import ODD_INVERSE, add_columns, arrow_schema, mix, powers, prefix_sums, small_batches
 
-LENGTH, GRAM = 200, 40
-RUN_BYTES, PART_BYTES, CHUNK_BYTES = 8 << 20, 8 << 20, 1 << 20
+LENGTH, GRAM = 200, 24
+RUN_BYTES, PART_BYTES, CHUNK_BYTES = 12 << 20, 8 << 20, 1 << 20
 
 
 def anchors(raw: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -86,7 +86,7 @@ def encode_run(entries: list[Entry]) -> bytes:
     counts = np.array([[k, len(t), len(e[1]), len(e[2])] for k, t, e in zip(shared, tails, entries, strict=True)], "<u4")
     places = np.array([[0 if d is None else d, int(d is None), t, p] for e in entries for d, t, p in e[2]], "<i8").reshape(-1, 4)
     parts = [np.array([len(entries), len(places)], "<u4").tobytes(), counts.T.tobytes(), np.ascontiguousarray(places.T).tobytes(), *tails, *[e[1] for e in entries]]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+    return zstandard.ZstdCompressor(level=6).compress(b"".join(parts))
 
 
 def decode_run(blob: bytes) -> Iterator[tuple[int, bytes, bytes, list]]:
