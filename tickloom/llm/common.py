@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -32,12 +33,20 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def keep(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """Writes df as Parquet in the shared folder, which cuts its lineage, and returns the table and its path."""
+def keep(df: DataFrame, name: str, parts: int | None = None) -> tuple[DataFrame, str]:
+    """Writes df as Parquet in the shared folder, which cuts its lineage, and returns the table and its path.
+
+    parts: the most tasks and files to write it with, for a table that is known to be small. What only the written plan used is
+    then garbage; collecting it lets Spark delete its shuffle files now and not at some later time.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
+    (df.coalesce(parts) if parts else df).write.option("compression", "zstd").parquet(path)
+    schema = df.schema
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path), path
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -1,15 +1,18 @@
 """MinHash near-dedup with odd sketches (operator 5).
 
-Method: a document's set of hashed word shingles gives `BANDS * ROWS` MinHash samples. Bands of ROWS samples are the buckets; two
-documents of similarity 0.8 share no bucket with probability (1 - 0.8**5)**25 = 5e-5. The samples are also folded into an odd
-sketch, a bitmap in which each sample flips one bit; the population count of two sketches' XOR estimates high similarities, and a
-bucket's pair goes on only if it is compatible with `threshold` less more than four standard deviations. What goes on is confirmed
-on the full sets, counted exactly, before it links. Texts with equal sets are one node from the start.
-
-Buckets are not expanded into all pairs. First every member meets only the smallest member of its bucket; confirmed links give
-components. Then a bucket yields pairs of its members only across different components, the `PER_ROUND` most similar of each pair
-of components (more in each further round), and rounds go on until no pair that the sketches allow is left unconfirmed between
-two components. Thus a large group of near copies costs links in proportion to its size, and no link between components is lost.
+Method: a document's set of hashed word shingles gives `BANDS * ROWS` MinHash samples by as many permutations. Bands of ROWS
+samples are the buckets; two documents of similarity 0.8 share no bucket with probability (1 - 0.8**5)**25 = 5e-5. The bottom
+`BOTTOM` hashes of the set, a MinHash sample by one permutation, are folded into an odd sketch: a bitmap in which each sampled
+hash flips one bit. The population count of two sketches' XOR is never more than the number of hashes that only one of them
+has, which a link limits; for sets of up to BOTTOM shingles the sketch therefore rejects without error, for larger ones
+beyond four standard deviations of the sample. What the sketches allow is confirmed on the full sets, counted exactly, before it
+links. Texts with equal sets are one node from the start.
+
+Buckets are not expanded into all pairs. First every member meets only its bucket's hub, the member that shares most bucket
+places with others, which in a group of near copies is the one that the others were made from; confirmed links give components.
+Then a bucket yields pairs of its members only across different components, the `PER_ROUND` most similar of each pair of
+components (more in each further round), and rounds go on until no pair that the sketches allow is left unconfirmed between two
+components. Thus a large group of near copies costs links in proportion to its size, and no link between components is lost.
 
 Nulls and edges: a null or empty text, or one without words, has an empty set and links with nothing; fewer words than a
 shingle's make one shingle; documents with the same doc_id share its component; a null doc_id links with nothing; repeated rows
@@ -27,9 +30,11 @@ from pyspark.sql import types as T
 from tickloom.llm.common import MASK, keep, map_texts, mix, shingle_sets
 from tickloom.llm.components import connected_components
 
-WIDTH, PERCENT, BANDS, ROWS, WORDS = 4, 80, 25, 5, 8
+WIDTH, PERCENT, BANDS, ROWS, WORDS, BOTTOM = 4, 80, 25, 5, 16, 1024
 SAMPLES = BANDS * ROWS
-PER_ROUND = 4
+PER_ROUND = 16
+#: Documents up to which the texts of pairs are found by a broadcast of their numbers (16 bytes each), and beyond by a shuffle.
+BROADCAST_IDS = 300_000
 _FACTORS = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019)) | np.uint64(1)
 _SALTS = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
 
@@ -43,9 +48,9 @@ def samples(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def odd_sketch(mins: np.ndarray) -> np.ndarray:
-    """64 * WORDS bits: bit j is the parity of the samples that fall on j."""
-    at = mix(mins + _SALTS) % np.uint64(64 * WORDS)
+def odd_sketch(shingles: np.ndarray) -> np.ndarray:
+    """64 * WORDS bits of a sorted set: bit j is the parity of the BOTTOM least hashes that fall on j."""
+    at = mix(shingles[:BOTTOM] + np.uint64(3)) % np.uint64(64 * WORDS)
     bits = (np.bincount(at.astype(np.int64), minlength=64 * WORDS) & 1).astype(np.uint8)
     return np.packbits(bits).view(np.int64)
 
@@ -57,15 +62,21 @@ def band_keys(mins: np.ndarray) -> np.ndarray:
     return k.view(np.int64)
 
 
-def most_odd_bits(similarity: float) -> int:
-    """The XOR's population count that sets of that similarity exceed with a probability under 1e-4.
+def most_odd_bits(a: F.Column, b: F.Column, percent: int) -> F.Column:
+    """How many bits the sketches of linked sets of sizes a and b differ in at most.
 
-    Of SAMPLES samples a binomial number differs; each that differs flips two bits of 64 * WORDS.
+    Linked sets share percent / (100 + percent) of a + b at least. Up to BOTTOM, that limits the hashes on one side alone; of a
+    larger set's sample that share is drawn, less four standard deviations. That many flips leave fewer odd bits on average.
     """
+    shared = percent / (100 + percent) * (a + b)
+    most = F.greatest(a, b).cast("double")
+    q = F.least(shared / most, F.lit(1.0))
+    drawn = F.lit(float(BOTTOM)) * q - 4 * F.sqrt(BOTTOM * q * (1 - q))
+    sizes = F.least(a, F.lit(BOTTOM)) + F.least(b, F.lit(BOTTOM))
+    flips = sizes - 2 * F.when(most <= BOTTOM, shared).otherwise(drawn)
     n = 64 * WORDS
-    differ = SAMPLES * (1 - similarity) + 4 * (SAMPLES * similarity * (1 - similarity)) ** 0.5
-    mean = n / 2 * (1 - (1 - 2 / n) ** (2 * differ))
-    return int(mean + 2 * (n / 4) ** 0.5 * (1 - (1 - 2 * mean / n) ** 2) ** 0.5) + 1
+    odd = n / 2 * (1 - F.exp(-2 * flips / n)) + 4 * F.sqrt(n / 4 * (1 - F.exp(-4 * flips / n)))
+    return F.least(flips + 1e-6, odd + 1)
 
 
 SKETCH = [f"k{i}" for i in range(WORDS)]
@@ -88,7 +99,7 @@ def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     def step(rows, texts):
         sets = list(shingle_sets(texts, width))
         mins = [samples(s) if len(s) else None for s in sets]
-        sketch = [None if m is None else odd_sketch(m).tolist() for m in mins]
+        sketch = [odd_sketch(s).tolist() if len(s) else None for s in sets]
         return {
             "doc_id": rows.column("doc_id"),
             "th": rows.column("th"),
@@ -105,8 +116,12 @@ ENDS = ["src", "src_th", "dst", "dst_th"]
 PAIR = T.StructType([*(T.StructField(c, T.LongType()) for c in ENDS), T.StructField("linked", T.BooleanType())])
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (ENDS) with linked: whether 100 * intersection >= percent * union on the full sets of texts (doc_id, th, text)."""
+def confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int, parts: int) -> DataFrame:
+    """The pairs (ENDS, a table) with linked: whether 100 * intersection >= percent * union on the full sets of texts (doc_id, th, text)."""
+    name = lambda c: pairs.select(F.col(c).alias("doc_id"), F.col(f"{c}_th").alias("th"))
+    ids, _ = keep(name("src").unionByName(name("dst")).distinct(), "ids", parts)
+    small = ids.count() <= BROADCAST_IDS
+    texts, _ = keep(texts.join(F.broadcast(ids) if small else ids, ["doc_id", "th"], "left_semi"), "texts")
     end = lambda c, text: texts.select(F.col("doc_id").alias(c), F.col("th").alias(f"{c}_th"), F.col("text").alias(text))
     both = pairs.join(end("src", "_left"), ["src", "src_th"]).join(end("dst", "_right"), ["dst", "dst_th"])
 
@@ -127,19 +142,22 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     """doc_id, n_shingles, component_id, kept of each row of docs (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
     found, _ = keep(signatures(docs, width), "signatures")
+    parts = max(8, found.count() // 50_000)
     whole = found.filter("doc_id IS NOT NULL AND n_shingles > 0")
     # one node for each set: its smallest document, and the hash of that one's text
     nodes = whole.groupBy("set_a", "set_b").agg(F.min_by(F.struct("doc_id", "th", "n_shingles", "bands", *SKETCH), F.struct("doc_id", "th")).alias("s"))
-    nodes, _ = keep(nodes.select("set_a", "set_b", F.col("s.doc_id").alias("node"), "s.th", "s.n_shingles", "s.bands", *[f"s.{k}" for k in SKETCH]), "nodes")
+    nodes, _ = keep(nodes.select("set_a", "set_b", F.col("s.doc_id").alias("node"), "s.th", "s.n_shingles", "s.bands", *[f"s.{k}" for k in SKETCH]), "nodes", parts)
     same = whole.select("doc_id", "set_a", "set_b").join(nodes.select("set_a", "set_b", "node"), ["set_a", "set_b"])
-    same, _ = keep(same.filter("doc_id <> node").select(F.col("doc_id").alias("src"), F.col("node").alias("dst")).distinct(), "same")
+    same, _ = keep(same.filter("doc_id <> node").select(F.col("doc_id").alias("src"), F.col("node").alias("dst")).distinct(), "same", parts)
 
     buckets = nodes.select(F.explode("bands").alias("band"), "node", "th")
-    hubs = buckets.groupBy("band").agg(F.min(F.struct("node", "th")).alias("hub"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    shared, _ = keep(buckets.join(hubs, "band"), "buckets")
+    counts = buckets.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
+    shared, _ = keep(buckets.join(counts, "band"), "buckets", 4 * parts)
+    score = shared.groupBy("node", "th").agg(F.sum("n").alias("score"))
+    best = F.struct("score", -F.col("node"), "th")
+    hubs = shared.join(score, ["node", "th"]).groupBy("band").agg(F.max_by(F.struct("node", "th"), best).alias("hub"))
     info = nodes.select("node", "th", "n_shingles", *SKETCH)
     texts = docs.filter("doc_id IS NOT NULL")
-    limit = most_odd_bits(percent / 100)
 
     def side(name: str) -> DataFrame:
         return info.select(F.col("node").alias(name), F.col("th").alias(f"{name}_th"), F.col("n_shingles").alias(f"{name}_n"), *[F.col(k).alias(f"{name}_{k}") for k in SKETCH])
@@ -148,20 +166,21 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
         """How many bits of the sketches differ, and whether that and the sizes allow a link."""
         odd = sum((F.bit_count(F.col(f"{a}_{k}").bitwiseXOR(F.col(f"{b}_{k}"))) for k in SKETCH), F.lit(0))
         n = F.col(f"{a}_n"), F.col(f"{b}_n")
-        return odd, (odd <= limit) & (100 * F.least(*n) >= percent * F.greatest(*n))
+        return odd, (odd <= most_odd_bits(*n, percent)) & (100 * F.least(*n) >= percent * F.greatest(*n))
 
-    with_hub = shared.filter("node <> hub.node").select(F.col("node").alias("src"), F.col("th").alias("src_th"), F.col("hub.node").alias("dst"), F.col("hub.th").alias("dst_th")).distinct()
+    with_hub = shared.join(hubs, "band").filter("node <> hub.node").select(F.col("node").alias("src"), F.col("th").alias("src_th"), F.col("hub.node").alias("dst"), F.col("hub.th").alias("dst_th")).distinct()
     pairs = with_hub.join(side("src"), ["src", "src_th"]).join(side("dst"), ["dst", "dst_th"]).filter(alike("src", "dst")[1]).select(*ENDS)
+    pairs, _ = keep(pairs, "with-hub", parts)
     tried, links, rank = None, same, PER_ROUND
     while True:
-        new, _ = keep(confirm(pairs, texts, width, percent), "pairs")
+        new, _ = keep(confirm(pairs, texts, width, percent, parts), "pairs", parts)
         tried = new if tried is None else tried.unionByName(new)
         links = links.unionByName(new.filter("linked").select("src", "dst"))
-        labels, _ = keep(connected_components(links), "labels")
+        labels, _ = keep(connected_components(links, parts), "labels", parts)
         named = shared.select("band", "node", "th").join(labels.withColumnRenamed("id", "node"), "node", "left").withColumn("c", F.coalesce("component", "node"))
         sizes = named.groupBy("band", "c").count()
         main = sizes.groupBy("band").agg(F.max_by("c", F.struct("count", "c")).alias("main"), F.count("*").alias("n")).filter("n > 1").drop("n")
-        mixed, _ = keep(named.join(main, "band").select("band", "main", "c", "node", "th"), "mixed")
+        mixed, _ = keep(named.join(main, "band").select("band", "main", "c", "node", "th"), "mixed", 4 * parts)
         if mixed.isEmpty():
             break
         left = mixed.filter("c <> main").select("band", "main", F.col("c").alias("c_a"), F.col("node").alias("a"), F.col("th").alias("a_th")).join(side("a"), ["a", "a_th"])
@@ -173,7 +192,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
         across = across.select(high.alias("h"), low.alias("l"), F.least("c_a", "c_b").alias("c_a"), F.greatest("c_a", "c_b").alias("c_b"), odd.alias("odd")).distinct()
         across = across.select(F.col("h.node").alias("src"), F.col("h.th").alias("src_th"), F.col("l.node").alias("dst"), F.col("l.th").alias("dst_th"), "c_a", "c_b", "odd").join(tried.select(*ENDS), ENDS, "left_anti")
         best = across.withColumn("_r", F.row_number().over(Window.partitionBy("c_a", "c_b").orderBy("odd", *ENDS))).filter(F.col("_r") <= rank)
-        pairs, _ = keep(best.select(*ENDS), "across")
+        pairs, _ = keep(best.select(*ENDS), "across", parts)
         if pairs.isEmpty():
             break
         rank *= 8

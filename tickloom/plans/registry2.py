@@ -391,3 +391,12 @@ def t4_late_bench(spark, sf):
     known, late = m.filter("n % 5 <> 0").select("key", "date", "bench"), m.filter("n % 10 = 0").select("key", "date", "bench")
     return A.fill_late(known, m.select("key", "date"), late).withColumn("bench", F.round("bench", 6))
 
+
+
+@query("t1_stream_bars", "SELECT event_type AS symbol, date_trunc('hour', ts) AS hour, round(arg_min(value, (ts, event_id)), 6) AS open, round(max(value), 6) AS high, round(min(value), 6) AS low, round(arg_max(value, (ts, event_id)), 6) AS close, count(*) AS volume FROM events GROUP BY 1, 2", bars=False, dates=())
+def t1_stream_bars(spark, sf):
+    from tickloom.streaming import jobs
+
+    schema = B.table(spark, sf, "events").schema
+    got = jobs.run_hourly(spark, sf, "events.parquet", schema)
+    return got.select("symbol", F.col("hour").cast("timestamp_ntz").alias("hour"), *[F.round(c, 6).alias(c) for c in ("open", "high", "low", "close")], "volume")
