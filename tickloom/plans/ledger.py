@@ -129,7 +129,7 @@ def success(ledger: DataFrame) -> DataFrame:
         SELECT CASE WHEN grouping(month) = 0 THEN 'MONTH' WHEN grouping(tf) = 0 THEN 'GROUP' WHEN grouping(kind) = 0 THEN 'KIND' ELSE 'OVERALL' END AS level,
             kind, tf, month, count(*) AS calls, count_if(closed) AS closed, count_if(run) AS running, count_if(mature) AS mature, count_if(status = 'Not triggered') AS not_triggered,
             {rate("closed AND win", "closed")} AS success_rate, {rate("mature AND win", "mature")} AS success_rate_mature, {rate("closed AND status = 'Target hit'", "closed")} AS target_hit_rate,
-            round(avg(CASE WHEN closed THEN result_pct END), 6) AS avg_result_pct
+            round(try_divide(sum(CASE WHEN closed THEN round(1e6D * result_pct) END), count(CASE WHEN closed THEN result_pct END))) / 1e6D AS avg_result_pct
         FROM {{ledger}} GROUP BY GROUPING SETS ((), (kind), (kind, tf), (month))""", ledger=df)
 
 
