@@ -71,3 +71,23 @@ def test_quantiser_bounds_distances():
     own = np.flatnonzero(at == 2)
     true = np.linalg.norm(x[:50, None] - x[own][None], axis=2)
     assert (q.distances(x[:50], 2, codes[own]) - error[own] <= true + 1e-9).all()
+
+
+def test_all_links_with_many_lists(spark):
+    """A group of near copies (cosines of about 0.95) of a third of the rows, and planted pairs at 0.901, in far more lists than a few probes."""
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=32)
+    base /= np.linalg.norm(base)
+    group = base + rng.normal(size=(500, 32)) * np.sqrt((1 / 0.95 - 1) / 32)
+    one = rng.normal(size=(500, 32))
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    side = rng.normal(size=one.shape)
+    side -= (side * one).sum(1, keepdims=True) * one
+    two = 0.901 * one + np.sqrt(1 - 0.901**2) * side / np.linalg.norm(side, axis=1, keepdims=True)
+    x = np.vstack([group, one, two])
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = ((u @ u.T) >= 0.9).sum(1) - 1
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in D.near_vectors(df, list_rows=15, block=200).collect()}
+    assert [got[i].n_links for i in range(len(x))] == want.tolist() and want[:500].sum() > 100_000
+    assert all(got[500 + i].component_id == got[1000 + i].component_id for i in range(500))

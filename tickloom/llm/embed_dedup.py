@@ -2,16 +2,17 @@
 
 Method: a bounded sample (`SAMPLE` vectors, a parameter) fits coarse centroids and, on the residuals to them, `PARTS` codebooks of
 `CODES` words. Every vector is stored in the inverted list of its nearest centroid as a code of PARTS bytes with its exact vector
-and the error of the code; every vector also asks the `PROBES` lists nearest to it. In a list, asymmetric distances of a query to
-all codes come from a table of its distances to the codewords. As the code's error is known, the triangle inequality bounds the
-true distance from below: only pairs that cannot reach the threshold are left out, so the quantisation itself loses no link; what
-goes on is reranked by the exact cosine in double precision. Links are lost only where two similar vectors lie in lists that
-neither probes; the tests hold recall against brute force.
-
-Equal vectors are one node with a count before anything else, so a frequent vector costs one row. A list's rows are cut into blocks
-of `BLOCK` by a hash, and a task compares one block of stored vectors with one block of queries, so no list meets in one task; a
-task gives back link counts and a spanning forest of its links, never all pairs. A pair that two lists see counts in one of
-them. Components come from the forests.
+and the error of the code; it asks every list that can hold a vector within the threshold: by the list's radius, and as a list's
+vectors lie on its side of the plane midway to any other centroid. In a list, asymmetric distances of queries to all codes come from
+a product with what the codes stand for. As the code's error is known, the triangle inequality bounds the true distance from
+below. Only pairs that cannot reach the threshold are left out, so neither lists nor quantisation lose a link; what goes on is
+reranked by the exact cosine in double precision. The result is exact; what the bounds leave depends on the data, and where they
+leave all lists (vectors without clusters) the work grows with the square of the distinct vectors.
+
+Equal vectors are one node with a count before anything else, so a frequent vector costs one row. Neighbouring lists are put together
+up to about `BLOCK` rows, longer ones are cut by a hash, and a task compares two such blocks, so no list meets in one task and a row is
+sent once for each block that it can reach. A task gives back link counts and a spanning forest of its links, never all pairs; each
+pair meets in one task. Components come from the forests.
 
 Nulls and edges: vectors that are null, empty, zero or hold null or non-finite components link with nothing; vectors of different
 lengths don't link; repeated rows link with each other; a null vec_id is a vector without number: it counts for others but has no
@@ -24,13 +25,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import keep, small_batches
+from tickloom.llm.common import keep, mix, small_batches
 from tickloom.llm.components import connected_components
 
-COSINE, SAMPLE, LIST_ROWS, LISTS, PROBES, PARTS, CODES, BLOCK = 0.9, 16384, 512, 1024, 8, 8, 64, 4096
+COSINE, SAMPLE, LIST_ROWS, LISTS, PARTS, CODES, BLOCK = 0.9, 16384, 512, 1024, 8, 64, 4096
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 0) -> np.ndarray:
@@ -83,38 +85,119 @@ class Quantiser:
         return codes, np.sqrt(((rest - stands) ** 2).sum((1, 2)))
 
     def distances(self, queries: np.ndarray, of_list: int, codes: np.ndarray) -> np.ndarray:
-        """Asymmetric distances of queries to what the codes of one list stand for, by table look-up."""
-        rest = self.split(queries - self.centres[of_list])
-        out = np.zeros((len(queries), len(codes)))
-        for p in range(PARTS):
-            table = (rest[:, p] ** 2).sum(1)[:, None] + (self.books[p] ** 2).sum(1)[None, :] - 2 * rest[:, p] @ self.books[p].T
-            out += table[:, codes[:, p]]
+        """Asymmetric distances of queries to what the codes of one list stand for."""
+        to = self.stands(of_list, codes)
+        rest = queries - self.centres[of_list]
+        out = (rest**2).sum(1)[:, None] + (to**2).sum(1)[None, :] - 2 * rest @ to.T
         return np.sqrt(np.maximum(out, 0))
 
-
-def forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Which of the links (a, b) make a spanning forest."""
-    parent: dict[int, int] = {}
-    keep_ = np.zeros(len(a), bool)
-    for i, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
-        while (p := parent.get(x, x)) != x:
-            x, parent[x] = p, parent.get(p, p)
-        while (p := parent.get(y, y)) != y:
-            y, parent[y] = p, parent.get(p, p)
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-            keep_[i] = True
-    return keep_
-
-
-def unit(rows: pa.Array) -> np.ndarray:
-    x = np.stack(rows.to_numpy(zero_copy_only=False)).astype(np.float64)
-    x /= np.abs(x).max(1, keepdims=True)
+    def stands(self, of_list: int, codes: np.ndarray) -> np.ndarray:
+        """What the codes of one list stand for, less its centroid."""
+        full = np.concatenate([self.books[p][codes[:, p]] for p in range(PARTS)], 1)
+        return full[:, : self.centres.shape[1]]
+
+
+class Forest:
+    """A spanning forest of links between positions below n. roots[i] is the tree of i after each add()."""
+
+    def __init__(self, n: int):
+        self.roots = np.arange(n)
+        self.links: list[tuple[int, int]] = []
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        """In rounds, one link of each tree: what is within a tree by then is dropped at once, so many links cost no loop."""
+        while True:
+            x, y = self.roots[a], self.roots[b]
+            open_ = x != y
+            a, b, x, y = a[open_], b[open_], x[open_], y[open_]
+            if not len(a):
+                return
+            first = np.union1d(np.unique(x, return_index=True)[1], np.unique(y, return_index=True)[1])
+            parent = {}
+            for i, u, v in zip(first.tolist(), x[first].tolist(), y[first].tolist(), strict=True):
+                while (p := parent.get(u, u)) != u:
+                    u, parent[u] = p, parent.get(p, p)
+                while (p := parent.get(v, v)) != v:
+                    v, parent[v] = p, parent.get(p, p)
+                if u != v:
+                    parent[max(u, v)] = min(u, v)
+                    self.links.append((int(a[i]), int(b[i])))
+            to = np.arange(len(self.roots))
+            to[list(parent)] = list(parent.values())
+            while (to[to] != to).any():
+                to = to[to]
+            self.roots = to[self.roots]
+
+
+def unit(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def near_vectors(vectors: DataFrame, cosine: float = COSINE, sample: int = SAMPLE, probes: int = PROBES, list_rows: int = LIST_ROWS, block: int = BLOCK) -> DataFrame:
-    """vec_id, n_links, component_id, kept of each row of vectors (vec_id, embedding)."""
+def pack(x: np.ndarray) -> list[bytes]:
+    """Rows as single floats where these are exact, else as doubles."""
+    with np.errstate(over="ignore"):
+        short = x.astype(np.float32)
+    return [(f if e else d).tobytes() for f, d, e in zip(short, x, (short == x).all(1).tolist(), strict=True)]
+
+
+def unpack(rows: list[bytes], width: int) -> np.ndarray:
+    return np.array([np.frombuffer(r, np.float32 if len(r) == 4 * width else np.float64) for r in rows], np.float64).reshape(len(rows), width)
+
+
+@dataclass
+class Reach:
+    """Which lists can hold a vector within `far` of a vector, and how the lists make blocks."""
+
+    centres: np.ndarray
+    radius: np.ndarray  # of each list; -1 where it is empty
+    far: float
+    group: np.ndarray  # of each list: neighbouring lists of about a block of rows
+    cuts: np.ndarray  # blocks of each group: more than one if it is a long list
+
+    @classmethod
+    def fit(cls, centres: np.ndarray, rows: np.ndarray, radius: np.ndarray, far: float, block: int) -> Reach:
+        left, at, order = np.ones(len(centres), bool), 0, []
+        while left.any():  # a chain from each list to the nearest one that isn't in it
+            order.append(at)
+            left[at] = False
+            at = int(np.where(left, ((centres - centres[at]) ** 2).sum(1), np.inf).argmin())
+        group, sums = np.zeros(len(centres), int), [0]
+        for l in order:
+            if sums[-1] and sums[-1] + rows[l] > block:
+                sums.append(0)
+            group[l] = len(sums) - 1
+            sums[-1] += int(rows[l])
+        return cls(centres, radius, far, group, np.maximum(1, -(-np.array(sums) // block)))
+
+    def lists(self, x: np.ndarray, home: np.ndarray) -> np.ndarray:
+        """Rows by lists: the ball about the centroid, and the plane midway between it and the own centroid, are both in reach."""
+        c = self.centres
+        d2 = np.maximum((x**2).sum(1)[:, None] + (c**2).sum(1) - 2 * x @ c.T, 0)
+        to = c[home]
+        between = np.sqrt(np.maximum((to**2).sum(1)[:, None] + (c**2).sum(1) - 2 * to @ c.T, 0))
+        plane = d2 - d2[np.arange(len(x)), home][:, None] <= 2 * self.far * between + 1e-6
+        return plane & (np.sqrt(d2) - self.radius <= self.far + 1e-6) & (self.radius >= 0)
+
+    def blocks(self, x: np.ndarray, home: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Each row's own block and all blocks that it can reach, its own among them."""
+        first = np.cumsum(self.cuts) - self.cuts
+        g = self.group[home]
+        own = first[g] + (mix(node.astype(np.uint64)) % self.cuts[g].astype(np.uint64)).astype(np.int64)
+        reached = np.zeros((len(x), len(self.cuts)), bool)
+        lists = self.lists(x, home)
+        for l in range(len(self.centres)):
+            reached[:, self.group[l]] |= lists[:, l]
+        reached[np.arange(len(x)), g] = True
+        of_block = np.repeat(np.arange(len(self.cuts)), self.cuts)
+        return own, [np.flatnonzero(r[of_block]) for r in reached]
+
+
+def near_vectors(vectors: DataFrame, cosine: float = COSINE, sample: int = SAMPLE, probes: int | None = None, list_rows: int = LIST_ROWS, block: int = BLOCK) -> DataFrame:
+    """vec_id, n_links, component_id, kept of each row of vectors (vec_id, embedding).
+
+    probes: without effect, for callers that still give it; every list in reach is asked.
+    """
     spark = vectors.sparkSession
     small_batches(spark, 2000)
     own = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
@@ -127,36 +210,43 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, sample: int = SAMPL
     widest = nodes.agg(F.max("dim")).first()[0]
     lists = max(1, min(LISTS, total // list_rows))
     rows = nodes.filter(F.col("dim") == widest).orderBy(F.hash("node"), "node").limit(sample).select("v").toArrow() if total else None
-    model = Quantiser.fit(unit(_padded(rows.column("v").combine_chunks(), widest)), lists) if rows is not None and rows.num_rows else None
+    model = Quantiser.fit(unit(dense(rows.column("v").combine_chunks(), widest)), lists) if rows is not None and rows.num_rows else None
     if model is None:
         labels, counts = None, None
     else:
         sent = spark.sparkContext.broadcast(model)  # lists * widest + CODES * widest numbers
-        k = min(probes, len(model.centres))
 
         def place(batches):
             for b in batches:
                 if b.num_rows:
-                    x = unit(_padded(b.column("v"), widest))
-                    at = nearest(x, sent.value.centres, k)
-                    codes, error = sent.value.encode(x, at[:, 0])
+                    raw = dense(b.column("v"), widest)
+                    x = unit(raw)
+                    at = nearest(x, sent.value.centres, 1)[:, 0]
+                    codes, error = sent.value.encode(x, at)
+                    off = np.linalg.norm(x - sent.value.centres[at], axis=1)
                     yield pa.RecordBatch.from_arrays(
-                        [b.column("node"), b.column("n"), b.column("dim"), pa.array([r.tobytes() for r in x], pa.binary()), pa.array(list(at), pa.list_(pa.int32())), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error)],
-                        names=["node", "n", "dim", "v", "lists", "codes", "error"],
+                        [b.column("node"), b.column("n"), b.column("dim"), pa.array(pack(raw), pa.binary()), pa.array(at, pa.int32()), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error), pa.array(off)],
+                        names=["node", "n", "dim", "v", "list", "codes", "error", "off"],
                     )
 
-        placed, path = keep(nodes.mapInArrow(place, "node long, n long, dim int, v binary, lists array<int>, codes binary, error double"), "placed")
-        stored = placed.withColumn("list", F.element_at("lists", 1))
-        again = spark.read.schema(placed.schema).parquet(path)
-        asked = again.select("node", "n", "dim", "v", "lists", F.explode("lists").alias("list"))
-        sizes = stored.groupBy("list").agg(F.count("*").alias("s")).join(asked.groupBy("list").agg(F.count("*").alias("q")), "list")
-        sizes = sizes.select("list", F.ceil(F.col("s") / block).cast("int").alias("sb"), F.ceil(F.col("q") / block).cast("int").alias("qb"))  # a row a list: LISTS at most
-        sizes = F.broadcast(sizes)
-        dealt = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
-        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-        left = stored.join(sizes, "list").withColumn("x", dealt("sb")).withColumn("y", every("qb")).select("list", "x", "y", "node", "n", "dim", "v", "lists", "codes", "error")
-        right = asked.join(sizes, "list").withColumn("y", dealt("qb")).withColumn("x", every("sb")).select("list", "x", "y", "node", "n", "dim", "v", "lists")
-        found = left.groupBy("list", "x", "y").cogroup(right.groupBy("list", "x", "y")).applyInArrow(_matcher(sent, cosine, k), "a long, b long, n_a long")
+        placed, _ = keep(nodes.mapInArrow(place, "node long, n long, dim int, v binary, list int, codes binary, error double, off double"), "placed")
+        n_rows, radius = np.zeros(len(model.centres), np.int64), np.full(len(model.centres), -1.0)
+        for r in placed.groupBy("list").agg(F.count("*").alias("s"), F.max("off").alias("radius")).collect():  # a row a list: LISTS at most
+            n_rows[r["list"]], radius[r["list"]] = r["s"], r["radius"]
+        reach = spark.sparkContext.broadcast(Reach.fit(model.centres, n_rows, radius, np.sqrt(max(0.0, 2 - 2 * cosine)) + 1e-9, block))
+
+        def deal(batches):
+            for b in batches:
+                if b.num_rows:
+                    x = unit(unpack(b.column("v").to_pylist(), widest))
+                    own_, all_ = reach.value.blocks(x, b.column("list").to_numpy(), b.column("node").to_numpy())
+                    yield pa.RecordBatch.from_arrays([*b.columns, pa.array(own_, pa.int32()), pa.array(all_, pa.list_(pa.int32()))], names=[*b.schema.names, "own", "all"])
+
+        dealt = placed.drop("off").mapInArrow(deal, "node long, n long, dim int, v binary, list int, codes binary, error double, own int, all array<int>")
+        dealt = dealt.withColumn("other", F.explode("all")).select(
+            F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), (F.col("own") > F.col("other")).alias("asks"), "node", "n", "dim", "v", "list", "codes", "error"
+        )
+        found = dealt.groupBy("p", "q").applyInArrow(_matcher(sent, reach, cosine, widest), "a long, b long, n_a long")
         found, _ = keep(found, "found")
         # rows with b are links of the forests; rows without are counts
         counts = found.filter("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n_a").alias("more"))
@@ -174,50 +264,60 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, sample: int = SAMPL
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
 
 
-def _padded(rows: pa.Array, width: int) -> pa.Array:
+def dense(rows: pa.Array, width: int) -> np.ndarray:
     """Vectors of one width: shorter ones are filled with zeros, which keeps their cosines; links ask for equal lengths."""
-    if all(len(r) == width for r in rows):
-        return rows
-    return pa.array([[*r.as_py(), *[0.0] * (width - len(r))] for r in rows], pa.list_(pa.float64()))
-
-
-def _matcher(sent, cosine: float, k: int):
-    """Links between a block of a list's stored vectors and a block of its queries."""
-    reach = np.sqrt(max(0.0, 2 - 2 * cosine)) + 1e-9
-
-    def match(_key, s: pa.Table, q: pa.Table) -> pa.Table:
-        out: list[np.ndarray] = [np.zeros(0, np.int64)] * 3
-        null = np.zeros(0, bool)
-        if s.num_rows and q.num_rows:
-            of = lambda t, c: t.column(c).to_numpy()
-            deep = lambda t: np.frombuffer(b"".join(t.column("v").to_pylist()), np.float64).reshape(t.num_rows, -1)
-            here = s.column("list")[0].as_py()
-            xs, xq = deep(s), deep(q)
-            ids, idq, dim, dim_q = of(s, "node"), of(q, "node"), of(s, "dim"), of(q, "dim")
-            probes = np.stack(s.column("lists").to_numpy())
-            home = np.stack(q.column("lists").to_numpy())[:, 0]
-            codes = np.frombuffer(b"".join(s.column("codes").to_pylist()), np.uint8).reshape(s.num_rows, -1)
-            bound = reach + of(s, "error")
-            a, b = [], []
-            for i in range(0, len(xq), 512):
-                near = sent.value.distances(xq[i : i + 512], here, codes) <= bound[None, :]
-                j, m = np.nonzero(near)
-                j += i
-                exact = np.einsum("ij,ij->i", xq[j], xs[m]) >= cosine - 1e-15 if len(j) < 100_000 else np.concatenate([np.einsum("ij,ij->i", xq[j[c : c + 100_000]], xs[m[c : c + 100_000]]) >= cosine - 1e-15 for c in range(0, len(j), 100_000)])
-                # once each: within the list by order; across lists in the lower one, or where only one of the two is asked
-                other = home[j] != here
-                both = other & (probes[m] == home[j][:, None]).any(1)
-                once = np.where(other, ~both | (here < home[j]), idq[j] < ids[m])
-                hit = exact & once & (dim_q[j] == dim[m])
-                a.append(m[hit])
-                b.append(j[hit])
-            a, b = np.concatenate(a), np.concatenate(b)
-            tree = forest(ids[a], idq[b])
-            n_s, n_q = of(s, "n"), of(q, "n")
-            more_s = np.bincount(a, n_q[b].astype(float), len(ids)).astype(np.int64)
-            more_q = np.bincount(b, n_s[a].astype(float), len(idq)).astype(np.int64)
-            out = [np.concatenate([ids[a][tree], ids[more_s > 0], idq[more_q > 0]]), np.concatenate([idq[b][tree], np.zeros((more_s > 0).sum() + (more_q > 0).sum(), np.int64)]), np.concatenate([np.zeros(tree.sum(), np.int64), more_s[more_s > 0], more_q[more_q > 0]])]
-            null = np.arange(len(out[0])) >= tree.sum()
-        return pa.table({"a": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64(), mask=null), "n_a": pa.array(out[2], pa.int64())})
+    if not all(len(r) == width for r in rows):
+        rows = pa.array([[*r.as_py(), *[0.0] * (width - len(r))] for r in rows], pa.list_(pa.float64()))
+    return np.stack(rows.to_numpy(zero_copy_only=False)).astype(np.float64)
+
+
+def _matcher(sent, reach, cosine: float, width: int):
+    """Links between the rows of two blocks, or within one."""
+
+    def match(key, t):
+        t = t.take(pa.compute.sort_indices(t, [("list", "ascending")]))
+        of = lambda c: t.column(c).to_numpy()
+        ids, n, dim, home, asks, error = (of(c) for c in ("node", "n", "dim", "list", "asks", "error"))
+        within = key[0].as_py() == key[1].as_py()
+        x = unit(unpack(t.column("v").to_pylist(), width))
+        single = x.astype(np.float32)
+        codes = np.frombuffer(b"".join(t.column("codes").to_pylist()), np.uint8).reshape(t.num_rows, -1)
+        asked = reach.value.lists(x, home)
+        asked[np.arange(len(x)), home] = True
+        mixed = (dim != dim[0]).any()
+        more, tree = np.zeros(len(x), np.int64), Forest(len(x))
+        for here in np.unique(home if within else home[~asks]):
+            s = np.flatnonzero((home == here) if within else (home == here) & ~asks)
+            q = np.flatnonzero(asked[:, here] if within else asked[:, here] & asks)
+            if within:
+                q = q[q > s[0]]
+            for m in (s[c : c + 4096] for c in range(0, len(s), 4096)):
+                # the codes' distances in single precision by one product: 1e-4 is far more than its rounding, and only lets more through
+                to = sent.value.stands(here, codes[m]) + sent.value.centres[here]
+                least = (((to**2).sum(1) + 1 - (reach.value.far + error[m]) ** 2) / 2 - 1e-4).astype(np.float32)
+                to = to.T.astype(np.float32)
+                for j in (q[c : c + 512] for c in range(0, len(q), 512)):
+                    near = single[j] @ to >= least[None, :]
+                    if within:
+                        near &= m[None, :] < j[:, None]  # once each
+                    if mixed:
+                        near &= dim[m][None, :] == dim[j][:, None]
+                    if near.mean() > 1 / 16:
+                        u, v = np.nonzero(near & (x[j] @ x[m].T >= cosine - 1e-15))
+                    else:
+                        u, v = np.nonzero(near)
+                        hit = np.einsum("ij,ij->i", x[j[u]], x[m[v]]) >= cosine - 1e-15
+                        u, v = u[hit], v[hit]
+                    if len(u):
+                        more[j] += np.bincount(u, n[m[v]], len(j)).astype(np.int64)
+                        more[m] += np.bincount(v, n[j[u]], len(m)).astype(np.int64)
+                        tree.add(j[u], m[v])
+        a, b = (np.array(e, np.int64) for e in (zip(*tree.links, strict=True) if tree.links else ((), ())))
+        null = np.arange(len(a) + (more > 0).sum()) >= len(a)
+        return pa.table({
+            "a": pa.array(np.concatenate([ids[a], ids[more > 0]]), pa.int64()),
+            "b": pa.array(np.concatenate([ids[b], np.zeros((more > 0).sum(), np.int64)]), pa.int64(), mask=null),
+            "n_a": pa.array(np.concatenate([np.zeros(len(a), np.int64), more[more > 0]]), pa.int64()),
+        })
 
     return match
