@@ -77,3 +77,30 @@ def test_templates_find_themselves(name):
     for t in L.TEMPLATES[name]:
         x, got = m.best(t.encode())
         assert got == name and abs(x - 1) < 1e-9
+
+
+GPL_HEADER = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+
+
+def test_whole_licences_and_headers(spark):
+    """Licence files with a notice before the text, wrapped headers among code, among very many and few files; the same result for both."""
+    text = lambda name: next(t for t in L.TEMPLATES[name][::-1] if len(t) > 900)
+    mit = "MIT License\n\nCopyright (c) 2019 Some Person\n\n" + text("MIT")
+    bsd = "Copyright (c) 2007, Somebody and others\nAll rights reserved.\n\n" + text("BSD-3-Clause")
+    code = "\n".join(f"value{i} = compute{i}(left{i}, right{i})" for i in range(300))
+    rows = [
+        (1, "m/LICENSE", mit), (2, "m/x.py", "code"), (3, "b/COPYING", bsd), (4, "b/y.py", "code"), (5, "g/a.py", "\n".join("# " + x for x in GPL_HEADER.split("\n")) + "\n" + code),
+        (6, "g/b.py", code + "\n" + GPL_HEADER + "\n" + code), (7, "h/LICENSE", text("GPL-3.0") + "\n" + code), (8, "h/z.py", "code"), (9, "n/w.py", code),
+    ]
+    want = {1: "MIT", 2: "MIT", 3: "BSD-3-Clause", 4: "BSD-3-Clause", 5: "GPL-3.0", 6: "GPL-3.0", 7: "GPL-3.0", 8: "GPL-3.0", 9: None}
+    for more in (0, 3000):
+        df = spark.createDataFrame(rows + [(100 + i, f"o/{i}.txt", "invented words") for i in range(more)], "file_id long, path string, text string")
+        assert {r.file_id: r.licence for r in L.scan(df).filter("file_id < 100").collect()} == want
