@@ -1,9 +1,9 @@
 """Best-fit packing of token sequences (operator 9).
 
-Method: bulk-synchronous best fit. Documents are tokenised where they lie and cut into pieces of at most `capacity` ids;
-only (document, piece, length, checksum) rows are shuffled. Pieces are range-sorted by length, and open sequences by their
-remaining gap. Pieces of one length are interchangeable, and so are sequences with one gap, so a sweep treats a whole class
-of pieces and a whole class of gaps in one superstep: every piece of the class asks for the smallest gap that holds it (its
+Method: best fit by classes. Documents are tokenised where they lie and cut into pieces of at most `capacity` ids;
+only (document, piece, length, checksum) rows are shuffled. The driver sweeps over the classes of lengths, longest first, one after
+another; nothing is range-sorted and no sweep is distributed. Pieces of one length are interchangeable, and so are sequences with one gap, so a sweep treats a whole class
+of pieces and a whole class of gaps in one step: every piece of the class asks for the smallest gap that holds it (its
 successor in gap order), a gap that more pieces ask for than it has sequences goes to the lowest ranks, the gaps that were
 taken shrink, and the sweep repeats with the rest until the class is placed or opens new sequences. There are at most
 `capacity` classes on either side however large the corpus is, so the state of the sweeps is the length histogram; the
