@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -15,16 +16,24 @@ TEXTS = [None, "", " ", "a", "Don't STOP 12 été's\x85x\x1cy <|endoftext|> <|st
 
 def test_ids_equal_the_tokenizers():
     t = Tokenizer.from_file(PATH)
-    got = packing.WordIds(PATH)([x or "" for x in TEXTS])
+    got = packing.WordIds(PATH)(pa.array([x or "" for x in TEXTS]))
     for text, ids in zip(TEXTS, got, strict=True):
-        assert np.frombuffer(ids, "<u4").tolist() == t.encode(text or "", add_special_tokens=False).ids
+        assert ids.tolist() == t.encode(text or "", add_special_tokens=False).ids
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.text(alphabet=st.sampled_from(list("aAbéÉ's.,!<|> \n\t\x1c\x85 ́Σ1²ſ")), max_size=30))
+@given(st.text(alphabet=st.sampled_from(list("aAbéÉ's.,!<|>İ# \n\t\x1c\x85 ́Σ1²ſ")), max_size=30))
 def test_ids_of_odd_texts(text):
     t = packing.word_ids(PATH)
-    assert np.frombuffer(t([text])[0], "<u4").tolist() == t.tokenizer.encode(text, add_special_tokens=False).ids
+    assert t(pa.array([text]))[0].tolist() == t.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_cache_starts_anew(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_PARTS", 30)
+    t = packing.WordIds(PATH)
+    for k in range(20):
+        text = " ".join(f"{chr(97 + (i * 7 + k) % 26)}{chr(97 + i)}o&&& &&& x{i}." for i in range(12))
+        assert t(pa.array([text]))[0].tolist() == t.tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def check(rows, capacity=2048):

@@ -16,83 +16,107 @@ packed each; an empty table gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import bisect
-import re
 import zlib
-from itertools import chain
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.common import keep, map_texts
+from tickloom.llm.common import arrow_schema, keep, small_batches, steps
 
 CAPACITY = 2048
 #: Rows of one length that are ranked together at most, on average.
 RANK_ROWS = 50_000
-#: Words kept by a worker, about 60 MB.
-CACHE_WORDS = 350_000
-#: A word of letters and trailing ASCII marks, which the tokenizer splits just there.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([^\sA-Za-z0-9'<\u0080-\U0010ffff]*)\Z")
+#: Parts of words kept by a worker, about 50 MB; a fuller cache starts anew.
+CACHE_PARTS = 300_000
+#: Bytes of text that a worker tokenises at a time, and words whose ids it gathers at a time.
+TOKEN_STEP, GATHER_WORDS = 2 << 20, 1 << 18
+#: Letters that the tokenizer keeps together and lower-cases one by one. A capital I with a dot isn't: it becomes two characters.
+LETTERS = "^[A-Za-zÀ-ÖØ-öø-įı-ɏ]+$"
+#: Marks that the tokenizer splits off a word's end as one run.
+MARKS = '!"#$%&()*+,-./:;=>?@[\\]^_`{|}~'
 
 
 class WordIds:
-    """Token ids of texts from a cache of words.
+    """Token ids of texts from a cache of parts of words: runs of letters, runs of marks after them, and words of any other kind.
 
-    The tokenizer must split at blanks and line feeds and drop them, and lower-case, as word_bpe_49k does; its ids of a text
-    are then the ids of the text's words one after another.
+    The tokenizer must split at blanks and line feeds and drop them, split between letters and marks, and lower-case, as
+    word_bpe_49k does; its ids of a text are then the ids of the text's parts one after another. Words are told apart in Arrow
+    and ids are gathered in numpy, so only distinct words of a step pass through Python.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def _encode(self, words: list[str], found: dict[str, bytes]) -> None:
-        """Each word's ids as little-endian 32-bit numbers."""
-        split, hard = {}, []
-        for w in words:
-            if m := PLAIN.match(w):
-                split[w] = (m[1].lower(), m[2])
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self._clear()
+
+    def _clear(self) -> None:
+        self.slots: dict[str, int] = {"": 0}
+        self.ids: list[np.ndarray] = [np.zeros(0, "<u4")]
+        self.lengths: list[np.ndarray] = [np.zeros(1, np.int64)]
+
+    def _add(self, names: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        first = len(self.slots)
+        self.slots.update(zip(names, range(first, first + len(names)), strict=True))
+        self.ids.append(ids)
+        self.lengths.append(lengths)
+
+    def _learn(self, runs: list[str], whole: list[str]) -> None:
+        """Ids of runs (of letters or of marks, one pre-token each) and of whole words, none known yet."""
+        if runs:
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(runs)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1  # a run's last token, and no other, has the mark of a word's end
+            if len(ends) == len(runs) and ends[-1] == len(ids):
+                self._add(runs, ids, np.diff(ends, prepend=0))
             else:
-                hard.append(w)
-        have = self.parts
-        need = list({x for p in split.values() for x in p if x} - have.keys())
-        if need:
-            if len(have) + len(need) > CACHE_WORDS:
-                have = dict(have) if len(have) < CACHE_WORDS else {x: have[x] for p in split.values() for x in p if x in have}
-            e = self.tokenizer.encode(" ".join(need), add_special_tokens=False)
-            word = np.array(e.word_ids, np.int64)
-            if len(word) and word[-1] == len(need) - 1:
-                raw = np.array(e.ids, "<u4").tobytes()
-                cut = (4 * np.searchsorted(word, np.arange(len(need) + 1))).tolist()
-                fresh = {x: raw[a:b] for x, a, b in zip(need, cut, cut[1:], strict=False)}
-            else:
-                fresh = self._each(need)
-            have = {**have, **fresh} if have is not self.parts else have
-            have.update(fresh)
-        for w, (a, b) in split.items():
-            found[w] = have[a] + (have[b] if b else b"")
-        found.update(self._each(hard))
-
-    def _each(self, words: list[str]) -> dict[str, bytes]:
-        return {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(words, self.tokenizer.encode_batch(words, add_special_tokens=False), strict=True)}
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        missing = set(chain.from_iterable(split)) - self.words.keys()
-        found = self.words
-        if missing:
-            fresh: dict[str, bytes] = {}
-            self._encode(list(missing), fresh)
-            if len(found) + len(fresh) <= CACHE_WORDS:
-                found.update(fresh)
-            else:
-                get = found.get
-                return [b"".join([get(w) or fresh.get(w, b"") for w in ws]) for ws in split]
-        return [b"".join(map(found.__getitem__, ws)) for ws in split]
+                whole = whole + runs
+        if whole:
+            each = [x.ids for x in self.tokenizer.encode_batch(whole, add_special_tokens=False)]
+            self._add(whole, np.array([i for ids in each for i in ids], "<u4"), np.array([len(ids) for ids in each], np.int64))
+
+    def _parts(self, words: pa.Array) -> np.ndarray:
+        """Slots of each distinct word's two parts; the second is empty for most."""
+        base = pc.utf8_rtrim(words, characters=MARKS)
+        plain = pc.match_substring_regex(base, LETTERS)
+        heads = pc.if_else(plain, pc.utf8_lower(base), words).dictionary_encode()
+        tails = pc.if_else(plain, pc.replace_substring_regex(words, LETTERS.strip("$"), ""), "").dictionary_encode()
+        simple = pc.match_substring_regex(heads.dictionary, LETTERS).to_numpy(zero_copy_only=False).tolist()
+        names, marks = (x.dictionary.to_numpy(zero_copy_only=False).tolist() for x in (heads, tails))
+        if len(self.slots) + len(names) + len(marks) > CACHE_PARTS:
+            self._clear()
+        slots = self.slots
+        new = [m for m in marks if m not in slots]
+        new += [x for x, p in zip(names, simple, strict=True) if p and x not in slots]
+        own = set(new)
+        self._learn(new, [x for x, p in zip(names, simple, strict=True) if not p and x not in slots and x not in own])
+        at = [np.fromiter(map(slots.__getitem__, x), np.int64, len(x))[c.indices.to_numpy()] for x, c in ((names, heads), (marks, tails))]
+        return np.stack(at, 1)
+
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text (none null), as little-endian 32-bit numbers."""
+        lists = pc.split_pattern(pc.replace_substring(texts, pattern="\n", replacement=" "), " ")
+        coded = lists.flatten().dictionary_encode()
+        parts = self._parts(coded.dictionary)
+        self.ids, self.lengths = [np.concatenate(self.ids)], [np.concatenate(self.lengths)]
+        ids, lengths = self.ids[0], self.lengths[0]
+        starts = np.cumsum(lengths) - lengths
+        index, ends = coded.indices.to_numpy(), np.cumsum(pc.list_value_length(lists).to_numpy())
+        sums, out = np.zeros(len(index) + 1, np.int64), []
+        np.cumsum(lengths[parts].sum(1)[index], out=sums[1:])
+        for a in range(0, len(index), GATHER_WORDS):
+            slots = parts[index[a : a + GATHER_WORDS]].ravel()
+            n = lengths[slots]
+            out.append(ids[np.repeat(starts[slots] - (np.cumsum(n) - n), n) + np.arange(n.sum())])
+        flat = np.concatenate(out) if out else ids[:0]
+        return np.split(flat, sums[ends[:-1]]) if len(ends) else []
 
 
 _tokenizers: dict[str, WordIds] = {}
@@ -113,29 +137,32 @@ def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = C
     tokenizer_path None: word_bpe_49k of public_tokenizers. A document's ids end with id 0.
     """
     fields = PIECES.fields if with_ids else PIECES.fields[:-1]
-    step_bytes = 4 * capacity
+    small_batches(docs.sparkSession)
+    schema = arrow_schema(T.StructType(fields))
 
-    def step(rows, texts):
+    def cut(doc_ids: list, all_ids: list[np.ndarray]) -> pa.RecordBatch:
+        out: dict[str, list] = {f.name: [] for f in fields}
+        for doc, ids in zip(doc_ids, all_ids, strict=True):
+            raw = ids.tobytes() + b"\0\0\0\0"
+            for k, a in enumerate(range(0, len(raw), 4 * capacity)):
+                part = raw[a : a + 4 * capacity]
+                row = (doc, k, a // 4, len(part) // 4, zlib.crc32(part), part)
+                for name, value in zip(out, row, strict=False):
+                    out[name].append(value)
+        return pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path = tokenizer_path
         if path is None:
             import public_tokenizers
 
             path = public_tokenizers.path("word_bpe_49k.json")
-        out: dict[str, list] = {f.name: [] for f in fields}
-        for doc, ids in zip(rows.column("doc_id").to_pylist(), word_ids(path)([t.decode("utf-8", "replace") for t in texts]), strict=True):
-            ids += b"\0\0\0\0"
-            for k, a in enumerate(range(0, len(ids), step_bytes)):
-                part = ids[a : a + step_bytes]
-                out["doc_id"].append(doc)
-                out["piece"].append(k)
-                out["start"].append(a // 4)
-                out["length"].append(len(part) // 4)
-                out["ids_crc32"].append(zlib.crc32(part))
-                if with_ids:
-                    out["ids"].append(part)
-        return out
-
-    return map_texts(docs.select(F.col("doc_id").cast("long"), "text"), "text", T.StructType(fields), step)
+        for batch in batches:
+            texts = batch.column(1).fill_null("")
+            for a, b in steps(pc.binary_length(texts).to_pylist(), TOKEN_STEP):
+                yield cut(batch.column(0).slice(a, b - a).to_pylist(), word_ids(path)(texts.slice(a, b - a)))
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, T.StructType(fields))
 
 
 def sweeps(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple[int, int, int, int, int]], int]:
