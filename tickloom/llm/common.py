@@ -9,7 +9,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of text that one step of a Python worker handles at a time; a longer text is a step of its own.
@@ -21,10 +22,12 @@ _own_dirs: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset and all run on one machine (tests)."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     app = spark.sparkContext.applicationId
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = _own_dirs.setdefault(app, "file://" + tempfile.mkdtemp(prefix="tickloom-"))
     return f"{base.rstrip('/')}/tickloom-{app}"
 
@@ -110,6 +113,12 @@ def add_columns(df: DataFrame, text: str, added: list[T.StructField], step: Call
     return map_texts(df, text, schema, both, limit)
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str], list[Column]]:
+    """df with its columns named d0, d1 ..., which no other name clashes with; the new name of each old one in lower case; and the way back."""
+    inner = [f"d{i}" for i in range(len(df.columns))]
+    return df.toDF(*inner), {n.lower(): d for n, d in zip(df.columns, inner, strict=True)}, [F.col(d).alias(n) for n, d in zip(df.columns, inner, strict=True)]
+
+
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 #: True for the bytes 32 and 9 to 13.
 SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])

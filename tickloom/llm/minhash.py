@@ -5,7 +5,7 @@ samples are the buckets; two documents of similarity 0.8 share no bucket with pr
 `BOTTOM` hashes of the set, a MinHash sample by one permutation, are folded into an odd sketch: a bitmap in which each sampled
 hash flips one bit. The population count of two sketches' XOR is never more than the number of hashes that only one of them
 has, which a link limits; for sets of up to BOTTOM shingles the sketch therefore rejects without error, for larger ones
-beyond four standard deviations of the sample. What the sketches allow is confirmed on the full sets, counted exactly, before it
+beyond six standard deviations of the sample, one link in 10**9. What the sketches allow is confirmed on the full sets, counted exactly, before it
 links. Texts with equal sets are one node from the start.
 
 Buckets are not expanded into all pairs. First every member meets only its bucket's hub, the member that shares most bucket
@@ -27,14 +27,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.common import MASK, keep, map_texts, mix, shingle_sets
+from tickloom.llm.common import MASK, keep, map_texts, mix, numbered, shingle_sets
 from tickloom.llm.components import connected_components
 
 WIDTH, PERCENT, BANDS, ROWS, WORDS, BOTTOM = 4, 80, 25, 5, 16, 1024
 SAMPLES = BANDS * ROWS
 PER_ROUND = 16
-#: Documents up to which the texts of pairs are found by a broadcast of their numbers (16 bytes each), and beyond by a shuffle.
-BROADCAST_IDS = 300_000
+#: Documents up to which their numbers (16 bytes each) are broadcast to find their rows; beyond, rows are shuffled.
+BROADCAST_IDS = 1_000_000
 _FACTORS = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019)) | np.uint64(1)
 _SALTS = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
 
@@ -66,16 +66,16 @@ def most_odd_bits(a: F.Column, b: F.Column, percent: int) -> F.Column:
     """How many bits the sketches of linked sets of sizes a and b differ in at most.
 
     Linked sets share percent / (100 + percent) of a + b at least. Up to BOTTOM, that limits the hashes on one side alone; of a
-    larger set's sample that share is drawn, less four standard deviations. That many flips leave fewer odd bits on average.
+    larger set's sample that share is drawn, less six standard deviations. That many flips leave fewer odd bits on average.
     """
     shared = percent / (100 + percent) * (a + b)
     most = F.greatest(a, b).cast("double")
     q = F.least(shared / most, F.lit(1.0))
-    drawn = F.lit(float(BOTTOM)) * q - 4 * F.sqrt(BOTTOM * q * (1 - q))
+    drawn = F.lit(float(BOTTOM)) * q - 6 * F.sqrt(BOTTOM * q * (1 - q))
     sizes = F.least(a, F.lit(BOTTOM)) + F.least(b, F.lit(BOTTOM))
     flips = sizes - 2 * F.when(most <= BOTTOM, shared).otherwise(drawn)
     n = 64 * WORDS
-    odd = n / 2 * (1 - F.exp(-2 * flips / n)) + 4 * F.sqrt(n / 4 * (1 - F.exp(-4 * flips / n)))
+    odd = n / 2 * (1 - F.exp(-2 * flips / n)) + 6 * F.sqrt(n / 4 * (1 - F.exp(-4 * flips / n)))
     return F.least(flips + 1e-6, odd + 1)
 
 
@@ -203,10 +203,16 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
 
 def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """docs without all but one document of each group: the smallest doc_id stays, once; documents without one all stay."""
-    found = near_duplicates(docs, width, percent)
-    kept = found.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").count()
-    kept, _ = keep(kept, "kept")
-    stay = docs.filter("doc_id IS NOT NULL").join(kept.select("doc_id"), "doc_id", "left_semi")
-    if not kept.filter("count > 1").isEmpty():
-        stay = stay.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text"))).filter("_n = 1").drop("_n")
-    return stay.unionByName(docs.filter("doc_id IS NULL"))
+    found, _ = keep(near_duplicates(docs, width, percent).filter("doc_id IS NOT NULL").select("doc_id", "kept"), "found")
+    gone, _ = keep(found.filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    few = gone.count() <= BROADCAST_IDS
+    inner, own, back = numbered(docs)
+    doc_id, text = F.col(own["doc_id"]), F.col(own["text"])
+    stay = inner.join(F.broadcast(gone) if few else gone, doc_id == F.col("_gone"), "left_anti")
+    twice, _ = keep(found.filter("kept").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_twice")), "twice")
+    if not twice.isEmpty():
+        near = F.broadcast(twice) if twice.count() <= BROADCAST_IDS else twice
+        again = stay.join(near, doc_id == F.col("_twice"), "left_semi")
+        again = again.withColumn("_n", F.row_number().over(Window.partitionBy(doc_id).orderBy(F.xxhash64(text), text))).filter("_n = 1").drop("_n")
+        stay = stay.join(near, doc_id == F.col("_twice"), "left_anti").unionByName(again)
+    return stay.select(*back)
