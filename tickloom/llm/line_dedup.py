@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.common import LOWER, MASK, add_columns, keep, map_texts, mix, remove
+from tickloom.llm.common import LOWER, MASK, add_columns, keep, map_texts, mix, numbered, remove
 
 MIN_DOCS, MIN_CHARS = 10, 1
 SHARD_KEYS = 1 << 16
@@ -155,13 +155,13 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_
     """docs with text without the lines whose key is in at least min_docs documents, and n_lines (before) and n_dropped."""
     spark = docs.sparkSession
     keys, keys_path = keep(line_counts(docs, min_chars).filter(F.col("n_docs") >= min_docs), "lines")
-    n, total = keys.agg(F.count("*"), F.coalesce(F.sum("n_docs"), F.lit(0))).first()
+    n = keys.count()
     shards = max(1, -(-n // shard_keys))
     index, _ = keep(build_index(keys, shards), "index")
     size = index.agg(F.coalesce(F.sum(F.length("blob")), F.lit(0))).first()[0]
     remove(spark, keys_path)
     if size > index_bytes:
-        return _routed(docs, index, shards, total, min_docs, min_chars)
+        return _routed(docs, index, shards, min_docs, min_chars)
     sent = spark.sparkContext.broadcast({r["shard"]: r["blob"] for r in index.collect()})  # at most index_bytes
     ready: dict[int, Shard] = {}
 
@@ -187,10 +187,14 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_
     return add_columns(docs, "text", ADDED, step)
 
 
-def _routed(docs: DataFrame, index: DataFrame, shards: int, total: int, min_docs: int, min_chars: int) -> DataFrame:
+def _routed(docs: DataFrame, index: DataFrame, shards: int, min_docs: int, min_chars: int) -> DataFrame:
     """The same by dealing line hashes to the shards: for an index too large to send to every worker."""
-    salts = max(1, -(-total // (shards * PROBES_A_TASK)))
-    own = docs.withColumn("_text_hash", F.xxhash64("text"))
+    lines = docs.agg(F.coalesce(F.sum(F.regexp_count("text", F.lit("\n")) + 1), F.lit(0))).first()[0]
+    salts = max(1, -(-lines // (shards * PROBES_A_TASK)))
+    added = {f.name for f in ADDED}
+    inner, named, back = numbered(docs)
+    back = [c for c, n in zip(back, docs.columns, strict=True) if n.lower() not in added]
+    own = inner.withColumn("_text_hash", F.xxhash64(named["text"]))
     probe = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("_text_hash", T.LongType()), *KEYS.fields])
 
     def give(rows, texts):
@@ -200,7 +204,7 @@ def _routed(docs: DataFrame, index: DataFrame, shards: int, total: int, min_docs
         again = lambda c: pa.array([x for x, n in zip(rows.column(c).to_pylist(), each, strict=True) for _ in range(n)], pa.int64())
         return {"doc_id": again("doc_id"), "_text_hash": again("_text_hash"), "hi": hi.view(np.int64), "lo": lo.view(np.int64)}
 
-    probes = map_texts(own.select(F.col("doc_id").cast("long"), "_text_hash", "text"), "text", probe, give)
+    probes = map_texts(own.select(F.col(named["doc_id"]).cast("long").alias("doc_id"), "_text_hash", F.col(named["text"]).alias("text")), "text", probe, give)
     probes = probes.withColumns({"shard": F.pmod("hi", F.lit(shards)).cast("int"), "salt": F.pmod(F.xxhash64("doc_id", "_text_hash"), F.lit(salts)).cast("int")})
     dealt = index.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
 
@@ -214,11 +218,11 @@ def _routed(docs: DataFrame, index: DataFrame, shards: int, total: int, min_docs
     hits = probes.groupBy("shard", "salt").cogroup(dealt.groupBy("shard", "salt")).applyInArrow(look, probe)
     gone = hits.distinct().groupBy("doc_id", "_text_hash").agg(F.collect_list(F.struct("hi", "lo")).alias("_gone"))
     gone = gone.select(F.col("doc_id").alias("_d"), F.col("_text_hash").alias("_h"), "_gone")
-    joined = own.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_d")) & F.col("_text_hash").eqNullSafe(F.col("_h")), "left").drop("_d", "_h", "_text_hash")
+    joined = own.join(gone, F.col(named["doc_id"]).cast("long").eqNullSafe(F.col("_d")) & F.col("_text_hash").eqNullSafe(F.col("_h")), "left").drop("_d", "_h", "_text_hash")
 
     def cut(rows, texts):
         split = [line_keys(t, min_chars) for t in texts]
         sets = [{((g["hi"] & MASK) << 64) | (g["lo"] & MASK) for g in gs or ()} for gs in rows.column("_gone").to_pylist()]
         return _without(texts, [[k in s for k in ks] for (_, ks), s in zip(split, sets, strict=True)], [ls for ls, _ in split])
 
-    return add_columns(joined, "text", ADDED, cut).drop("_gone")
+    return add_columns(joined, named["text"], ADDED, cut).select(*back, *[f.name for f in ADDED])

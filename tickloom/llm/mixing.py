@@ -26,7 +26,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import keep
+from tickloom.llm.common import keep, numbered, remove
 
 SECTIONS, PASSES = 32, 7
 BLOCK_DOCS, OUT_TOKENS, MAX_EPOCHS = 4096, 1 << 20, 2.0
@@ -101,25 +101,29 @@ def plan(shares: DataFrame, a: float, budget: int | None = None) -> DataFrame:
 def mix(docs: DataFrame, target_entropy: float | None = None, max_epochs: float | None = MAX_EPOCHS, budget: int | None = None, seed: str = "mix") -> DataFrame:
     """docs with n_tokens, a row for each copy: epoch from 0, and block, the output block in which the copy is due."""
     docs = with_tokens(docs.drop(*[c for c in docs.columns if c.lower() in ADDED]))
-    shares, _ = keep(source_shares(docs), "shares")
+    shares, shares_path = keep(source_shares(docs), "shares")
     a = exponent(shares, target_entropy, max_epochs, budget)
     sources, _ = keep(plan(shares, a, budget), "mix")
+    remove(docs.sparkSession, shares_path)
     near = F.broadcast(sources) if sources.count() <= BROADCAST_SOURCES else sources
-    place = F.md5(F.concat_ws("/", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit(""))).cast("binary"))
-    rows = docs.withColumn("_source", F.coalesce("source", F.lit(""))).join(near, "_source").withColumn("_place", place)
+    rows, own, back = numbered(docs)  # the input's columns can't clash with those of the plan
+    doc_id, text, n_tokens = (F.col(own[c]) for c in ("doc_id", "text", "n_tokens"))
+    place = F.md5(F.concat_ws("/", F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit("")), F.coalesce(text, F.lit(""))).cast("binary"))
+    rows = rows.withColumns({"_source": F.coalesce(F.col(own["source"]), F.lit("")), "_place": place}).join(near, "_source")
     blocks = F.ceil(F.col("n_docs") / BLOCK_DOCS)
     rows = rows.withColumn("_block", F.floor(F.conv(F.substring("_place", 1, 8), 16, 10).cast("double") / float(1 << 32) * blocks))
-    sums = rows.groupBy("_source", "_block").agg(F.sum("n_tokens").alias("_t"))
+    sums = rows.groupBy("_source", "_block").agg(F.sum(n_tokens).alias("_t"))
+    # a source's blocks meet in one task: a row for BLOCK_DOCS documents, which is fine up to 10**10 documents of one source
     before = sums.select(F.col("_source"), F.col("_block"), (F.sum("_t").over(Window.partitionBy("_source").orderBy("_block")) - F.col("_t")).alias("_before"))
     within = Window.partitionBy("_source", "_block").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_sum", F.sum("n_tokens").over(within)).join(before, ["_source", "_block"])
-    rows = rows.withColumn("_at", F.col("_before") + F.col("_sum") - F.col("n_tokens"))
-    copies = F.col("epochs") + (F.col("_at") + F.col("n_tokens") <= F.col("rest")).cast("int")
+    rows = rows.withColumn("_sum", F.sum(n_tokens).over(within)).join(before, ["_source", "_block"])
+    rows = rows.withColumn("_at", F.col("_before") + F.col("_sum") - n_tokens)
+    copies = F.col("epochs") + (F.col("_at") + n_tokens <= F.col("rest")).cast("int")
     rows = rows.withColumn("_copies", F.when(F.col("tokens") > 0, copies).otherwise(F.lit(1))).filter("_copies > 0")
     rows = rows.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("_copies").cast("int") - 1)))
     due = (F.col("epoch") * F.col("tokens") + F.col("_at")) / (F.col("epochs") * F.col("tokens") + F.col("rest"))
     block = F.when(F.col("tokens") > 0, F.least(F.floor(due * F.col("out_blocks")), F.col("out_blocks") - 1)).otherwise(F.lit(0))
-    return rows.withColumn("block", block.cast("long")).select(*docs.columns, "epoch", "block")
+    return rows.withColumn("block", block.cast("long")).select(*back, "epoch", "block")
 
 
 #: mix() with its defaults over documents; repetition by whole budgets gives the exponent in closed form.

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.common import ODD_INVERSE, add_columns, arrow_schema, mix, powers, prefix_sums, small_batches
+from tickloom.llm.common import ODD_INVERSE, add_columns, arrow_schema, mix, numbered, powers, prefix_sums, small_batches
 
 LENGTH, GRAM = 200, 24
 RUN_BYTES, PART_BYTES, CHUNK_BYTES = 12 << 20, 8 << 20, 1 << 20
@@ -316,13 +316,15 @@ def cut(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int]:
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, part_bytes: int = PART_BYTES) -> DataFrame:
     """docs (doc_id, text) with n_bytes, n_removed, n_spans and kept, the remaining bytes."""
     spark = docs.sparkSession
-    own = docs.withColumns({"_doc": F.col("doc_id").cast("long"), "th": F.xxhash64("text")})
+    added = {f.name for f in ADDED}
+    rows, named, back = numbered(docs.drop(*[c for c in docs.columns if c.lower() in added]))
+    own = rows.withColumns({"_doc": F.col(named["doc_id"]).cast("long"), "_th": F.xxhash64(named["text"])})
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // part_bytes))
-    runs = sorted_runs(own.select(F.col("_doc").alias("doc_id"), "th", "text"), parts, length, gram)
+    runs = sorted_runs(own.select(F.col("_doc").alias("doc_id"), F.col("_th").alias("th"), F.col(named["text"]).alias("text")), parts, length, gram)
     spans = repeated_spans(runs, parts, length, gram)
     spans = spans.groupBy(F.col("doc_id").alias("_d"), F.col("th").alias("_t")).agg(F.collect_list(F.struct("first", "past")).alias("_spans"))
-    joined = own.join(spans, F.col("_doc").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t")), "left").drop("_d", "_t", "_doc", "th")
+    joined = own.join(spans, F.col("_doc").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_t")), "left").drop("_d", "_t", "_doc", "_th")
 
     def step(rows, texts):
         out: dict[str, list] = {f.name: [] for f in ADDED}
@@ -332,4 +334,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, part
                 out[c].append(v)
         return out
 
-    return add_columns(joined, "text", ADDED, step).drop("_spans")
+    return add_columns(joined, named["text"], ADDED, step).select(*back, *[f.name for f in ADDED])
