@@ -173,6 +173,7 @@ def read_media(media: DataFrame, digests: bool = False) -> DataFrame:
 
 
 def documents_as_media(docs: DataFrame, row_bytes: int = ROW_BYTES, form: str = "pnm") -> DataFrame:
-    """Stores every text as an image in the shared folder, reads the images back and returns their digests and features."""
+    """Stores every text as an image in the shared folder, reads the images back, and stores their NPY tiles, digests and features, which are read again."""
     stored, _ = keep(texts_to_media(docs, row_bytes, form), "media")
-    return read_media(stored, digests=True)
+    tiles, _ = keep(read_media(stored, digests=True), "tiles")
+    return tiles
