@@ -303,10 +303,10 @@ def _matcher(sent, reach, cosine: float, width: int):
                     if mixed:
                         near &= dim[m][None, :] == dim[j][:, None]
                     if near.mean() > 1 / 16:
-                        u, v = np.nonzero(near & (x[j] @ x[m].T >= cosine - 1e-15))
+                        u, v = np.nonzero(near & (x[j] @ x[m].T >= cosine))
                     else:
                         u, v = np.nonzero(near)
-                        hit = np.einsum("ij,ij->i", x[j[u]], x[m[v]]) >= cosine - 1e-15
+                        hit = np.einsum("ij,ij->i", x[j[u]], x[m[v]]) >= cosine
                         u, v = u[hit], v[hit]
                     if len(u):
                         more[j] += np.bincount(u, n[m[v]], len(j)).astype(np.int64)

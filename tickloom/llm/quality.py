@@ -136,10 +136,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
         texts = docs.select(F.col("doc_id"), "text").join(F.broadcast(chosen), "doc_id")  # 2 * sample rows at most
 
         def step(batch, got):
-            return {"y": batch.column("y"), "counts": [x.tobytes() for x in np.hstack([term_counts(got), repeats(got)]).astype("<f4")]}
+            return {"doc_id": batch.column("doc_id"), "y": batch.column("y"), "counts": [x.tobytes() for x in np.hstack([term_counts(got), repeats(got)]).astype("<f4")]}
 
-        schema = T.StructType([T.StructField("y", T.IntegerType()), T.StructField("counts", T.BinaryType())])
-        rows = map_texts(texts.select(F.col("y").cast("int").alias("y"), "text"), "text", schema, step).limit(4 * sample).collect()
+        schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("y", T.IntegerType()), T.StructField("counts", T.BinaryType())])
+        found = map_texts(texts.select(F.col("doc_id").cast("long"), F.col("y").cast("int").alias("y"), "text"), "text", schema, step)
+        # of rows that repeat a number one counts, so 2 * sample rows at most come to the driver
+        rows = found.groupBy("doc_id").agg(F.max(F.struct("counts", "y")).alias("r")).select("r.*").collect()
     if not rows:
         none = np.zeros((0, LATENT), np.float32)
         return Model(idf, np.zeros((TERMS + 2, LATENT), np.float32), none, np.zeros(0), np.zeros(0), prior)
