@@ -13,9 +13,14 @@ def col(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def half_up(x: str | Column, digits: int) -> Column:
+    """Rounded half up in double arithmetic, which gives the same number in every engine; never a negative zero."""
+    return F.floor(col(x) * 10.0**digits + 0.5) / 10.0**digits
+
+
 def r6(x: str | Column) -> Column:
-    """Rounded to six decimals, as results are compared; nudged off ties, and without negative zeros."""
-    return F.round(col(x) + 1.23e-8, 6) + F.lit(0.0)
+    """Rounded to six decimals, as results are compared."""
+    return half_up(x, 6)
 
 
 def safe_div(a: str | Column, b: str | Column) -> Column:

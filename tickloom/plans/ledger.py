@@ -9,9 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.functions.exprs import crosses_down, crosses_up, r6, rolling
+from tickloom.functions.exprs import crosses_down, crosses_up, half_up, r6, rolling
 from tickloom.operators.windows import true_range
-from tickloom.sources.bars import NUDGE
 
 # Timeframe, stop, target and entry distances in true ranges, sessions held; cost of a round trip.
 TIMEFRAMES = [("ST", 1.5, 3.0, 1.0, 10), ("MT", 3.0, 6.0, 1.5, 60), ("LT", 5.0, 10.0, 2.0, 250)]
@@ -28,8 +27,8 @@ def timeframes(spark: SparkSession) -> DataFrame:
 def levels(df: DataFrame) -> DataFrame:
     """entry_limit, target and stop from close, atr, side and the timeframe's distances, rounded to ticks; null without a side."""
     side = F.when(F.col("side") != 0, F.col("side"))
-    at = lambda m: F.round(F.col("close") + side * F.col(m) * F.col("atr") + NUDGE, 2)
-    return df.withColumns({"entry_limit": at("cm"), "target": at("tm"), "stop": F.round(F.col("close") - side * F.col("sm") * F.col("atr") + NUDGE, 2)})
+    at = lambda m: half_up(F.col("close") + side * F.col(m) * F.col("atr"), 2)
+    return df.withColumns({"entry_limit": at("cm"), "target": at("tm"), "stop": half_up(F.col("close") - side * F.col("sm") * F.col("atr"), 2)})
 
 
 def call_kind(call_type: str | Column) -> Column:

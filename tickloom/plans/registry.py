@@ -8,14 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions.exprs import r6
+from tickloom.functions.sqltext import S, dist, div, flag, lag, r, roll
 from tickloom.operators import windows as W
 from tickloom.sources import bars as B
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
-S = "PARTITION BY symbol ORDER BY date"
-
 
 def query(name: str, sql: str | None = None, bars: bool = True, dates: tuple[str, ...] = ("date",)):
     """Registers a query; sql follows the common tables (b: bars, u: universe, m: benchmark) if bars is true. Dates become text."""
@@ -34,41 +33,10 @@ def query(name: str, sql: str | None = None, bars: bool = True, dates: tuple[str
     return add
 
 
-def roll(how: str, x: str, n: int, least: int | None = None, by: str = S) -> str:
-    f = {"mean": "avg", "sum": "sum", "std": "stddev_samp", "var": "var_samp", "max": "max", "min": "min"}[how]
-    w = f"({by} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
-    return f"CASE WHEN count({x}) OVER {w} >= {least or n} THEN {f}({x}) OVER {w} END"
-
-
-def prev(how: str, x: str, n: int, least: int | None = None) -> str:
-    w = f"({S} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
-    return f"CASE WHEN count({x}) OVER {w} >= {least or n} THEN {how}({x}) OVER {w} END"
-
-
-def lag(x: str, n: int = 1, by: str = S) -> str:
-    return f"lag({x}, {n}) OVER ({by})"
-
-
-def div(a: str, b: str) -> str:
-    return f"CASE WHEN abs({b}) > 1e-12 THEN ({a}) / ({b}) END"
-
-
-def dist(a: str, b: str) -> str:
-    return f"100 * (({div(a, b)}) - 1)"
-
-
-def r(e: str) -> str:
-    return f"round(({e}) + 1.23e-8, 6) + 0.0"
-
-
 def cols(d: dict[str, str], keys: str = "symbol, date") -> str:
     return keys + ", " + ", ".join(f"{r(e)} AS {n}" for n, e in d.items())
 
 
-def flag(c: str) -> str:
-    return f"CASE WHEN {c} THEN 1.0 ELSE 0.0 END"
-
-
 # ---- windows ----------------------------------------------------------------------------------------------------
 def simple(name: str, f: Callable[[DataFrame], DataFrame], sql: str | None) -> None:
     query(name, sql)(lambda spark, sf: f(B.walk(spark, sf)))

@@ -12,7 +12,8 @@ from tickloom.operators import patterns as P
 from tickloom.operators import scans as K
 from tickloom.plans import decide as D
 from tickloom.plans import ledger as L
-from tickloom.plans.registry import S, TR, cols, dist, div, flag, lag, prev, query, r, roll
+from tickloom.functions.sqltext import S, dist, div, flag, lag, prev, r, roll
+from tickloom.plans.registry import TR, cols, query
 from tickloom.sources import bars as B
 from tickloom.sources import files as Fi
 
@@ -233,7 +234,7 @@ def w27_session_age(spark, sf):
 TF = "(VALUES " + ", ".join(f"('{n}', {s}::DOUBLE, {t}::DOUBLE, {c}::DOUBLE, {h})" for n, s, t, c, h in L.TIMEFRAMES) + ") tf(tf, sm, tm, cm, hold)"
 CALLS = (
     TR + f", c0 AS (SELECT *, round(({roll('mean', 'close', 5)}) - ({roll('mean', 'close', 20)}), 8) AS d, round({roll('mean', 'tr', 14)}, 4) AS atr FROM tr), c1 AS (SELECT *, {lag('d')} AS p_d FROM c0), c2 AS (SELECT *, CASE WHEN {up_('d')} THEN 1 WHEN {dn_('d')} THEN -1 END AS side FROM c1), "
-    f"calls AS MATERIALIZED (SELECT symbol, date AS signal_date, t AS t0, tf, CASE WHEN side > 0 THEN 'BUY' ELSE 'SHORT' END AS kind, side, close, atr, round(close + side * cm * atr + 0.0000123, 2) AS entry_limit, round(close + side * tm * atr + 0.0000123, 2) AS target, round(close - side * sm * atr + 0.0000123, 2) AS stop, hold AS max_days FROM c2, {TF} WHERE side IS NOT NULL AND atr IS NOT NULL)"
+    f"calls AS MATERIALIZED (SELECT symbol, date AS signal_date, t AS t0, tf, CASE WHEN side > 0 THEN 'BUY' ELSE 'SHORT' END AS kind, side, close, atr, floor((close + side * cm * atr) * 1e2 + 0.5) / 1e2 AS entry_limit, floor((close + side * tm * atr) * 1e2 + 0.5) / 1e2 AS target, floor((close - side * sm * atr) * 1e2 + 0.5) / 1e2 AS stop, hold AS max_days FROM c2, {TF} WHERE side IS NOT NULL AND atr IS NOT NULL)"
 )
 
 
@@ -263,11 +264,11 @@ def ledger(spark, sf) -> DataFrame:
 query("c9_trade_eval", EVAL + " SELECT * FROM led", dates=("signal_date", "exit_date"))(ledger)
 query(
     "c10_avoid_eval",
-    CALLS + ", fw AS (SELECT c.symbol, signal_date, tf, c.close, max_days, max(b.t - t0)::INT AS n, max(b.date) AS d1, arg_max(b.close, b.t) AS c1 FROM calls c JOIN b ON b.symbol = c.symbol AND b.t > t0 AND b.t <= t0 + max_days WHERE kind = 'SHORT' AND tf = 'ST' GROUP BY ALL), "
+    CALLS + ", fw AS (SELECT c.symbol, signal_date, tf, c.close, max_days, max(b.t - t0)::INT AS n, max(b.date) AS d1, arg_max(b.close, b.t) AS c1 FROM calls c JOIN b ON b.symbol = c.symbol AND b.t > t0 AND b.t <= t0 + max_days WHERE kind = 'SHORT' GROUP BY ALL), "
     "mk AS (SELECT d0, d1, avg(y.close / x.close - 1) AS mkt FROM (SELECT DISTINCT signal_date AS d0, d1 FROM fw) s JOIN b x ON x.date = d0 JOIN b y ON y.date = d1 AND y.symbol = x.symbol GROUP BY 1, 2), "
     f"e AS (SELECT fw.*, mkt, c1 / close - 1 AS stock, round(c1 / close - 1 - mkt, 10) AS ex FROM fw JOIN mk ON d0 = signal_date AND mk.d1 = fw.d1) SELECT symbol, signal_date, tf, CASE WHEN n < max_days THEN 'Open' WHEN ex < 0 THEN 'Correct' ELSE 'Wrong' END AS status, n AS days_held, {r('100 * stock')} AS stock_ret_pct, {r('100 * mkt')} AS mkt_ret_pct, {r('100 * ex')} AS excess_pct FROM e",
     dates=("signal_date",),
-)(lambda spark, sf: (lambda bars: L.evaluate_avoids(L.crossover_calls(bars).filter("kind = 'SHORT' AND tf = 'ST'"), bars))(B.walk(spark, sf)))
+)(lambda spark, sf: (lambda bars: L.evaluate_avoids(L.crossover_calls(bars).filter("kind = 'SHORT'"), bars))(B.walk(spark, sf)))
 _rate = lambda a, b: f"round(count_if({a})::DOUBLE / nullif(count_if({b}), 0), 6)"
 query(
     "c11_success_groups",
@@ -286,8 +287,8 @@ def factors(spark, sf) -> DataFrame:
     return B.walk(spark, sf).filter("t % 97 = 13").select("symbol", F.col("date").alias("ex_date"), F.when(F.col("t") % 2 == 0, 0.5).otherwise(0.8).alias("factor"))
 
 
-query("j5_ca_product", CALLS + ACT + " SELECT c.symbol, signal_date, tf, kind, round(coalesce(product(f), 1.0), 9) AS factor FROM calls c LEFT JOIN act a ON a.symbol = c.symbol AND ex_date > signal_date WHERE tf = 'ST' GROUP BY 1, 2, 3, 4", dates=("signal_date",))(
-    lambda spark, sf: L.ca_factor(calls(spark, sf).filter("tf = 'ST'"), factors(spark, sf)).select("symbol", "signal_date", "tf", "kind", F.round("factor", 9).alias("factor"))
+query("j5_ca_product", CALLS + ACT + " SELECT c.symbol, signal_date, tf, kind, round(coalesce(product(f), 1.0), 9) AS factor FROM calls c LEFT JOIN act a ON a.symbol = c.symbol AND ex_date > signal_date GROUP BY 1, 2, 3, 4", dates=("signal_date",))(
+    lambda spark, sf: L.ca_factor(calls(spark, sf), factors(spark, sf)).select("symbol", "signal_date", "tf", "kind", F.round("factor", 9).alias("factor"))
 )
 query("c13_split_adjust", ACT + f", pj AS (SELECT b.*, coalesce((SELECT product(f) FROM act a WHERE a.symbol = b.symbol AND a.ex_date > b.date), 1.0) AS adj FROM b) SELECT symbol, date, round(adj, 9) AS adj, {r('close * adj')} AS close, {r('volume / adj')} AS volume, trades FROM pj")(
     lambda spark, sf: A.adjust(B.walk(spark, sf), factors(spark, sf)).select("symbol", "date", F.round("adj", 9).alias("adj"), r6("close").alias("close"), r6("volume").alias("volume"), "trades")
@@ -295,8 +296,8 @@ query("c13_split_adjust", ACT + f", pj AS (SELECT b.*, coalesce((SELECT product(
 query("c15_rename", " SELECT CASE WHEN symbol % 10 = 3 THEN symbol + 1000000 WHEN symbol % 10 = 4 THEN symbol ELSE symbol END AS symbol, count(*) AS bars FROM b GROUP BY 1", dates=())(
     lambda spark, sf: A.rename(B.walk(spark, sf), B.walk(spark, sf).select(F.col("symbol").alias("old_symbol")).distinct().filter("old_symbol % 10 in (3, 4)").select("old_symbol", F.when(F.col("old_symbol") % 10 == 3, F.col("old_symbol") + 1000000).otherwise(F.col("old_symbol") - 1).alias("new_symbol"))).groupBy("symbol").agg(F.count("*").alias("bars"))
 )
-query("u5_universe_diff", " SELECT symbol, 'added' AS change FROM u WHERE symbol % 3 = 0 AND symbol % 2 = 1 UNION ALL SELECT symbol, 'removed' FROM u WHERE symbol % 2 = 0 AND symbol % 3 <> 0", dates=())(lambda spark, sf: (lambda u: A.universe_diff(u.filter("symbol % 2 = 0"), u.filter("symbol % 3 = 0")))(B.universe(spark, sf)))
-query("u9_upsert", " SELECT symbol, CASE WHEN symbol % 3 = 0 THEN upper(industry) ELSE industry END AS industry FROM u WHERE symbol % 2 = 0 OR symbol % 3 = 0", dates=())(lambda spark, sf: (lambda u: L.upsert(u.filter("symbol % 2 = 0"), u.filter("symbol % 3 = 0").withColumn("industry", F.upper("industry")), ["symbol"]))(B.universe(spark, sf).select("symbol", "industry")))
+query("u5_universe_diff", " SELECT symbol, 'added' AS change FROM u WHERE symbol % 2 = 1 UNION ALL SELECT symbol, 'removed' FROM u WHERE symbol % 2 = 0 AND symbol % 3 <> 0", dates=())(lambda spark, sf: (lambda u: A.universe_diff(u.filter("symbol % 2 = 0"), u.filter("symbol % 3 = 0 OR symbol % 2 = 1")))(B.universe(spark, sf)))
+query("u9_upsert", " SELECT symbol, CASE WHEN symbol % 3 = 0 OR symbol % 2 = 1 THEN upper(industry) ELSE industry END AS industry FROM u", dates=())(lambda spark, sf: (lambda u: L.upsert(u.filter("symbol % 2 = 0"), u.filter("symbol % 3 = 0 OR symbol % 2 = 1").withColumn("industry", F.upper("industry")), ["symbol"]))(B.universe(spark, sf).select("symbol", "industry")))
 query("j2_industry", " SELECT symbol, company, industry FROM u", dates=())(B.universe)
 query("j13_pending_sessions", " SELECT DISTINCT date FROM b WHERE date NOT IN (SELECT date FROM b WHERE symbol % 7 = 0)")(lambda spark, sf: L.sessions_pending(B.walk(spark, sf), B.walk(spark, sf).filter("symbol % 7 = 0")))
 query("a10_modal_date", " SELECT date, n FROM (SELECT date, count(*) AS n FROM b GROUP BY 1) ORDER BY n DESC, date LIMIT 1")(lambda spark, sf: Fi.modal_date(B.walk(spark, sf)))
@@ -360,7 +361,7 @@ DECIDE = (
     "WHEN (am AND net <= 0) OR (net <= -thr AND NOT lm) THEN CASE WHEN tf = 'LT' THEN 'Reduce / Avoid' ELSE 'Avoid (likely underperformer)' END WHEN (am AND net >= thr) OR (lm AND net <= -thr) THEN 'Hold (mixed signals)' ELSE 'Hold / No fresh trade' END AS type FROM nn), "
     "sd AS (SELECT *, CASE WHEN type IN ('Strong Buy', 'Buy', 'Accumulate (buy on dips)') THEN 1 WHEN type IN ('Short Sell', 'Strong Short Sell') THEN -1 ELSE 0 END AS side FROM ty), "
     f"dec AS (SELECT symbol, tf, type, side, {r('qb')} AS pct_buy, {r('qs')} AS pct_short, l_label AS bucket_buy, s_label AS bucket_short, {r('greatest(0.01, least(0.99, y + hit))')} AS conf_buy, {r('ret + net')} AS exp_ret_buy, {r('net')} AS net_evidence, "
-    "CASE WHEN side <> 0 THEN round(close + side * cm * atr + 0.0000123, 2) END AS entry_limit, CASE WHEN side <> 0 THEN round(close + side * tm * atr + 0.0000123, 2) END AS target, CASE WHEN side <> 0 THEN round(close - side * sm * atr + 0.0000123, 2) END AS stop FROM sd)"
+    "CASE WHEN side <> 0 THEN floor((close + side * cm * atr) * 1e2 + 0.5) / 1e2 END AS entry_limit, CASE WHEN side <> 0 THEN floor((close + side * tm * atr) * 1e2 + 0.5) / 1e2 END AS target, CASE WHEN side <> 0 THEN floor((close - side * sm * atr) * 1e2 + 0.5) / 1e2 END AS stop FROM sd)"
 )
 query("c7_decision", DECIDE + " SELECT * FROM dec", dates=())(decisions)
 query("d4_top_picks", DECIDE + " SELECT tf, place, symbol, type, exp_ret_buy, pct_buy FROM (SELECT *, row_number() OVER (PARTITION BY tf ORDER BY CASE WHEN type = 'Strong Buy' THEN 0 ELSE 1 END, exp_ret_buy DESC, pct_buy DESC, symbol)::INT AS place FROM dec WHERE side > 0) WHERE place <= 5", dates=())(lambda spark, sf: D.top_picks(decisions(spark, sf)))
@@ -377,11 +378,11 @@ def c8_ledger_insert(spark, sf):
     return L.insert_calls(old, c.filter("signal_date >= DATE '2000-01-01'").select("symbol", "tf", "kind", "signal_date"))
 
 
-@query("j9_market_average", CALLS + ", s AS (SELECT DISTINCT signal_date AS d0, b.date AS d1 FROM calls JOIN b ON b.symbol = calls.symbol AND b.t = t0 + 10 WHERE tf = 'ST') SELECT d0, d1, round(avg(y.close / x.close - 1) + 1.23e-8, 6) + 0.0 AS mkt FROM s JOIN b x ON x.date = d0 JOIN b y ON y.date = d1 AND y.symbol = x.symbol GROUP BY 1, 2", dates=("d0", "d1"))
+@query("j9_market_average", CALLS + ", s AS (SELECT DISTINCT signal_date AS d0, b.date AS d1 FROM calls JOIN b ON b.symbol = calls.symbol AND b.t = t0 + max_days) SELECT d0, d1, floor(avg(y.close / x.close - 1) * 1e6 + 0.5) / 1e6 AS mkt FROM s JOIN b x ON x.date = d0 JOIN b y ON y.date = d1 AND y.symbol = x.symbol GROUP BY 1, 2", dates=("d0", "d1"))
 def j9_market_average(spark, sf):
     bars = B.walk(spark, sf)
-    c = L.crossover_calls(bars).filter("tf = 'ST'")
-    end = c.join(bars.select("symbol", (F.col("t") - 10).alias("t0"), F.col("date").alias("d1")), ["symbol", "t0"])
+    c = L.crossover_calls(bars).withColumn("t1", F.col("t0") + F.col("max_days"))
+    end = c.join(bars.select("symbol", F.col("t").alias("t1"), F.col("date").alias("d1")), ["symbol", "t1"])
     return L.market_average(end.withColumn("d0", F.col("signal_date")), bars).select("d0", "d1", r6("mkt").alias("mkt"))
 
 

@@ -5,10 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.functions.exprs import by_symbol
-
-#: Keeps products of two-decimal prices off the edge between two ticks.
-NUDGE = 0.0000123
+from tickloom.functions.exprs import by_symbol, half_up
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,8 +39,8 @@ def walk_bars(lines: DataFrame) -> DataFrame:
     day = day.withColumn("close", F.round(100 * F.exp(F.sum("r").over(sofar)), 2))
     day = day.withColumn("open", F.coalesce(F.lag("close").over(by_symbol()), "close"))
     return day.select(
-        "symbol", "date", "open", F.round(F.greatest("open", "close") * (1 + F.col("tax") / 10) + NUDGE, 2).alias("high"),
-        F.round(F.least("open", "close") * (1 - F.col("tax") / 10) + NUDGE, 2).alias("low"), "close", "volume", "deliv_qty", "trades",
+        "symbol", "date", "open", half_up(F.greatest("open", "close") * (1 + F.col("tax") / 10), 2).alias("high"),
+        half_up(F.least("open", "close") * (1 - F.col("tax") / 10), 2).alias("low"), "close", "volume", "deliv_qty", "trades",
         (F.row_number().over(by_symbol()) - 1).alias("t"),
     )
 
@@ -67,8 +64,9 @@ def universe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def benchmark(bars: DataFrame) -> DataFrame:
-    """date, bench: the mean close of the day over all symbols; a row a session."""
-    return bars.groupBy("date").agg(F.round(F.avg("close") + NUDGE, 4).alias("bench"))
+    """date, bench: the mean close of the day over all symbols, from the sum in ticks, which no order of addition changes; a row a session."""
+    ticks = F.sum(F.round(F.col("close") * 100).cast("long"))
+    return bars.groupBy("date").agg(half_up(ticks / F.count("*") / 100, 4).alias("bench"))
 
 
 #: The same tables in SQL, as the start of a query.
@@ -81,10 +79,10 @@ WITH RECURSIVE d AS (
 p AS (SELECT *, round(100 * exp(sum(r) OVER (PARTITION BY symbol ORDER BY date)), 2) AS close FROM d),
 q AS (SELECT *, coalesce(lag(close) OVER (PARTITION BY symbol ORDER BY date), close) AS open FROM p),
 b AS MATERIALIZED (
-    SELECT symbol, date, open, round(greatest(open, close) * (1 + tax / 10) + 0.0000123, 2) AS high, round(least(open, close) * (1 - tax / 10) + 0.0000123, 2) AS low, close, volume,
+    SELECT symbol, date, open, floor(greatest(open, close) * (1 + tax / 10) * 1e2 + 0.5) / 1e2 AS high, floor(least(open, close) * (1 - tax / 10) * 1e2 + 0.5) / 1e2 AS low, close, volume,
         deliv_qty, trades, row_number() OVER (PARTITION BY symbol ORDER BY date) - 1 AS t
     FROM q
 ),
 u AS (SELECT s_suppkey AS symbol, s_name AS company, coalesce(n_name, 'OTHER') AS industry FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey),
-m AS (SELECT date, round(avg(close) + 0.0000123, 4) AS bench FROM b GROUP BY date)
+m AS (SELECT date, floor(sum(round(close * 100)::BIGINT) / count(*) / 100 * 1e4 + 0.5) / 1e4 AS bench FROM b GROUP BY date)
 """
