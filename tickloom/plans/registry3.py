@@ -6,7 +6,9 @@ from tickloom.functions.sqltext import r
 from tickloom.operators import candles as C
 from tickloom.operators import features as Fe
 from tickloom.operators import indicators as I
+from tickloom.operators import signals as Sg
 from tickloom.operators.tables import Columns, derive, derive_sql
+from tickloom.operators.windows import with_bench
 from tickloom.plans.registry import query
 from tickloom.sources import bars as B
 
@@ -24,8 +26,6 @@ def columns_query(name: str, columns: Columns, wanted: list[str], shown: dict[st
     def run(spark, sf):
         bars = B.walk(spark, sf)
         if bench:
-            from tickloom.operators.windows import with_bench
-
             bars = with_bench(bars, B.benchmark(bars))
         return derive(bars, columns, wanted).selectExpr("symbol", "date", *[f"{r(e)} AS {n}" for n, e in shown.items()])
 
@@ -44,3 +44,24 @@ columns_query("feat_averages", Fe.COLUMNS, Fe.WINDOWED)
 columns_query("feat_levels", Fe.COLUMNS, Fe.LEVELS)
 columns_query("feat_relative", Fe.COLUMNS, Fe.RELATIVE, bench=True)
 columns_query("feat_kernels", Fe.COLUMNS, Fe.KERNELS, sql=False)
+
+
+def signals_query(name: str, rules: list[Sg.Rule], sql: bool = True, bench: bool = False) -> None:
+    text = None
+    if sql:
+        columns, names = Sg.flags(rules)
+        body, last = derive_sql("bq" if bench else "b", columns, names)
+        start = ", bq AS (SELECT b.*, bench FROM b JOIN m USING (date))" if bench else ""
+        text = start + body + "SELECT symbol, date, t, pattern, family, dir FROM (" + " UNION ALL ".join(f"SELECT symbol, date, t, '{p}' AS pattern, '{f}' AS family, {d} AS dir FROM {last} WHERE {n} = 1" for n, (p, f, d, _) in zip(names, rules, strict=True)) + ")"
+
+    def run(spark, sf):
+        bars = B.walk(spark, sf)
+        return Sg.signals(with_bench(bars, B.benchmark(bars)) if bench else bars, rules)
+
+    query(name, text)(run)
+
+
+signals_query("sig_smoothed", Sg.SMOOTH_RULES)
+signals_query("sig_relative", Sg.RELATIVE_RULES, bench=True)
+signals_query("sig_kernels", Sg.KERNEL_RULES, sql=False)
+signals_query("sig_candles", Sg.CANDLE_RULES)
