@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.exprs import by_symbol, lag, rolling, safe_div
-from tickloom.operators.scans import with_atr
+from tickloom.operators import indicators
+from tickloom.operators.tables import Column as Derived
+from tickloom.operators.tables import derive, rma
 
 Rule = tuple[str, str, int, Column, Column | str]
 EVENT = ["symbol", "date", "t", "pattern", "family", "dir", "level"]
@@ -22,6 +25,14 @@ def emit(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df.select("symbol", "date", "t", e.alias("e")).select("symbol", "date", "t", "e.*")
 
 
+#: Mean true range of 14 bars, Wilder's.
+ATR: dict[str, Derived] = {"tr": indicators.COLUMNS["tr"], "atr": rma("tr", 14)}
+
+
+def with_atr(bars: DataFrame) -> DataFrame:
+    return derive(bars, ATR, ["atr"])
+
+
 def before(how: str, x: str, n: int, least: int | None = None) -> Column:
     """A rolling aggregate of the n bars before this one."""
     w = by_symbol().rowsBetween(-n, -1)
@@ -96,7 +107,7 @@ def volume_patterns(bars: DataFrame) -> DataFrame:
     """Pocket pivots, and selling and buying climaxes."""
     c = F.col
     df = with_atr(bars).withColumns({"pc": lag("close"), "sma50": F.round(rolling("mean", "close", 50), 8), "sma200": F.round(rolling("mean", "close", 200), 8), "v50": rolling("mean", "volume", 50), "ll": before("min", "low", 20), "hh": before("max", "high", 20), "c10": lag("close", 10)})
-    df = df.withColumns({"dv": F.when(c("close") < c("pc"), c("volume")).otherwise(0.0), "rng": c("high") - c("low"), "volx": F.round(c("volume") / F.greatest(c("v50"), F.lit(1.0)), 8), "ret10": F.round(safe_div("close", "c10") - 1, 8)}).withColumn("dv10", before("max", "dv", 10))
+    df = df.withColumns({"dv": F.when(c("close") < c("pc"), c("volume")).otherwise(0.0), "rng": c("high") - c("low"), "volx": F.when(c("v50").isNotNull(), F.round(c("volume") / F.greatest(c("v50"), F.lit(1.0)), 8)), "ret10": F.round(safe_div("close", "c10") - 1, 8)}).withColumn("dv10", before("max", "dv", 10))
     pivot = (c("close") > c("pc")) & (c("volume") > c("dv10")) & (c("close") > c("sma50")) & (F.round(F.abs(safe_div("close", "sma50") - 1), 8) < 0.10) & (c("sma50") > c("sma200"))
     wide, middle = F.round(c("rng") - 2 * c("atr"), 8) > 0, F.round((c("high") + c("low")) / 2, 8)
     sell = (c("volx") >= 3) & wide & (c("low") <= c("ll")) & (c("close") > middle) & (c("ret10") < -0.10)
@@ -121,7 +132,7 @@ def gaps(bars: DataFrame) -> DataFrame:
     df = with_atr(bars).withColumns({"pc": lag("close"), "ph": lag("high"), "pl": lag("low"), "hi": before("max", "high", 40), "lo": before("min", "low", 40), "v50": rolling("mean", "volume", 50), "c20": lag("close", 20)})
     big = F.round(F.abs(c("open") - c("pc")) - 0.5 * c("atr"), 8) >= 0
     up, down = (c("low") > c("ph")) & big, (c("high") < c("pl")) & big
-    narrow, heavy, ret20 = F.round((c("hi") - c("lo")) / c("close"), 8) < 0.25, F.round(c("volume") / F.greatest(c("v50"), F.lit(1.0)), 8) >= 1.5, F.round(safe_div("close", "c20") - 1, 8)
+    narrow, heavy, ret20 = F.round((c("hi") - c("lo")) / c("close"), 8) < 0.25, F.when(c("v50").isNotNull(), F.round(c("volume") / F.greatest(c("v50"), F.lit(1.0)), 8)) >= 1.5, F.round(safe_div("close", "c20") - 1, 8)
     no = lambda x: F.coalesce(~x, F.lit(True))
     above, below = c("close") > c("hi"), c("close") < c("lo")
     return emit(df, [("Breakaway gap up", "Gaps", 1, up & above & narrow & heavy, "ph"), ("Breakaway gap down", "Gaps", -1, down & below & narrow & heavy, "pl"), ("Runaway gap up", "Gaps", 1, up & (ret20 > 0.15) & no(above), "ph"), ("Runaway gap down", "Gaps", -1, down & (ret20 < -0.15) & no(below), "pl")])
@@ -135,18 +146,19 @@ def event_declines(bars: DataFrame) -> DataFrame:
 
 def islands(bars: DataFrame, most: int = 15) -> DataFrame:
     """Bars cut off by gaps on both sides: 1 to `most` bars whose extremes leave the bar before and this bar apart."""
-    df = bars
-    found_low = found_high = None
-    for k in range(most, 0, -1):
+    kinds = []
+    for k in range(1, most + 1):
         w = by_symbol().rowsBetween(-k, -1)
         high, low = F.max("high").over(w), F.min("low").over(w)
-        bottom = (high < lag("low", k + 1)) & (high < F.col("low"))
-        top = (low > lag("high", k + 1)) & (low > F.col("high"))
-        found_low = bottom if found_low is None else found_low | bottom
-        found_high = top if found_high is None else found_high | top
-    no = F.lit(False)
-    df = df.withColumns({"b": F.coalesce(found_low, no), "h": F.coalesce(found_high, no)})
-    return emit(df, [("Island bottom", "Island reversal", 1, F.col("b"), "low"), ("Island top", "Island reversal", -1, F.col("h"), "high")])
+        kinds.append(F.when((high < lag("low", k + 1)) & (high < F.col("low")), 1).when((low > lag("high", k + 1)) & (low > F.col("high")), -1))
+    df = bars.withColumn("kind", F.coalesce(*kinds))  # the shortest island counts
+    return emit(df, [("Island bottom", "Island reversal", 1, F.col("kind") == 1, "low"), ("Island top", "Island reversal", -1, F.col("kind") == -1, "high")])
+
+
+def all_events(bars: DataFrame) -> DataFrame:
+    """The events of every bar pattern."""
+    found = [f(bars) for f in (new_highs, key_reversals, turtle_soup, wyckoff, contraction_breaks, volume_patterns, flat_bases, gaps, event_declines, islands)]
+    return reduce(DataFrame.unionByName, found)
 
 
 def pattern_counts(events: DataFrame, bars: DataFrame) -> DataFrame:
@@ -161,13 +173,17 @@ def pattern_counts(events: DataFrame, bars: DataFrame) -> DataFrame:
     return n.select("symbol").join(out, "symbol", "left").na.fill(0).withColumn("net_20", F.col("bull_20") - F.col("bear_20"))
 
 
+def pattern_id(name: str) -> str:
+    return "pat_" + re.sub("[^a-z0-9]+", "_", name.lower()).strip("_")[:60]
+
+
 def pattern_decay(events: DataFrame, bars: DataFrame, names: list[str]) -> DataFrame:
     """For each symbol and pattern name, exp(-age / 10) of its latest event, 0 from 31 bars on."""
     n = bars.groupBy("symbol").agg(F.max("t").alias("n"))
     last = events.filter(F.col("pattern").isin(names)).groupBy("symbol").pivot("pattern", names).agg(F.max("t"))
     df = n.join(last, "symbol", "left")
     age = lambda p: F.col("n") - F.col(f"`{p}`")
-    ids = {p: "pat_" + "".join(ch if ch.isalnum() else " " for ch in p.lower()).strip().replace("  ", " ").replace(" ", "_") for p in names}
+    ids = {p: pattern_id(p) for p in names}
     return df.select("symbol", *[F.round(F.when(age(p) <= 30, F.exp(-age(p) / 10)).otherwise(0.0), 6).alias(ids[p]) for p in names])
 
 

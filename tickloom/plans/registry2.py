@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,10 +12,11 @@ from tickloom.operators import actions as A
 from tickloom.operators import crosssection as X
 from tickloom.operators import patterns as P
 from tickloom.operators import scans as K
+from tickloom.operators.tables import derive_sql
 from tickloom.plans import decide as D
 from tickloom.plans import ledger as L
 from tickloom.functions.sqltext import S, dist, div, flag, lag, prev, r, roll
-from tickloom.plans.registry import TR, cols, query
+from tickloom.plans.registry import DAILY, TR, cols, query
 from tickloom.sources import bars as B
 from tickloom.sources import files as Fi
 
@@ -182,44 +185,77 @@ MA = f", x AS (SELECT *, round({dist('close', roll('mean', 'close', 50))}, 8) AS
 query("sig_ma_cross", MA + events_sql("y", [("Golden cross (50 > 200 DMA)", "Moving averages", 1, up_("g"), "close"), ("Death cross (50 < 200 DMA)", "Moving averages", -1, dn_("g"), "close"), *[(f"Close crosses {w} {n} DMA", "Moving averages", d, f(f"d{n}"), "close") for n in (200, 50) for w, d, f in (("above", 1, up_), ("below", -1, dn_))]]))(lambda spark, sf: ma_cross(B.walk(spark, sf)))
 
 # ---- patterns ----------------------------------------------------------------------------------------------------
+PATTERN_SQL: dict[str, str] = {}
 _no20 = lambda c: f"NOT (coalesce(max({c}) OVER ({S} ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING), false) AND count({c}) OVER ({S} ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING) >= 20)"
 HIGHS = f", x AS (SELECT *, {prev('max', 'high', 252, 200)} AS hi, {prev('min', 'low', 252, 200)} AS lo, max(high) OVER ({S} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ath FROM b), y AS (SELECT *, coalesce(close > hi, false) AS bh, coalesce(close < lo, false) AS bl, coalesce(close > ath, false) AS ba FROM x), z AS (SELECT *, bh AND {_no20('bh')} AS fh, bl AND {_no20('bl')} AS fl, ba AND {_no20('ba')} AS fa FROM y) "
-query("pat_new_highs", HIGHS + events_sql("z", [("52-week high breakout", "New highs / lows", 1, "fh", "hi"), ("52-week low breakdown", "New highs / lows", -1, "fl", "lo"), ("Multi-year high breakout (since 2016)", "New highs / lows", 1, "fa AND t >= 500", "ath")]))(lambda spark, sf: P.new_highs(B.walk(spark, sf)))
+PATTERN_SQL["pat_new_highs"] = HIGHS + events_sql("z", [("52-week high breakout", "New highs / lows", 1, "fh", "hi"), ("52-week low breakdown", "New highs / lows", -1, "fl", "lo"), ("Multi-year high breakout (since 2016)", "New highs / lows", 1, "fa AND t >= 500", "ath")])
+query("pat_new_highs", PATTERN_SQL["pat_new_highs"])(lambda spark, sf: P.new_highs(B.walk(spark, sf)))
 KEYR = f", x AS (SELECT *, {prev('min', 'low', 20)} AS ll, {prev('max', 'high', 20)} AS hh, {lag('close')} AS pc, {lag('high')} AS ph, {lag('low')} AS pl FROM b) "
-query("pat_key_reversal", KEYR + events_sql("x", [("Key reversal day (bullish)", "Reversal bars", 1, "low < ll AND close > pc AND high > ph", "close"), ("Key reversal day (bearish)", "Reversal bars", -1, "high > hh AND close < pc AND low < pl", "close")]))(lambda spark, sf: P.key_reversals(B.walk(spark, sf)))
+PATTERN_SQL["pat_key_reversal"] = KEYR + events_sql("x", [("Key reversal day (bullish)", "Reversal bars", 1, "low < ll AND close > pc AND high > ph", "close"), ("Key reversal day (bearish)", "Reversal bars", -1, "high > hh AND close < pc AND low < pl", "close")])
+query("pat_key_reversal", PATTERN_SQL["pat_key_reversal"])(lambda spark, sf: P.key_reversals(B.walk(spark, sf)))
 _p20 = f"({S} ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)"
 TS = f", x AS (SELECT *, {prev('min', 'low', 20)} AS ll, {prev('max', 'high', 20)} AS hh, CASE WHEN count(low) OVER {_p20} = 20 THEN t - 1 - arg_min(t, low) OVER {_p20} END AS la, CASE WHEN count(low) OVER {_p20} = 20 THEN t - 1 - arg_max(t, high) OVER {_p20} END AS ha FROM b), y AS (SELECT *, " + " OR ".join(f"coalesce({lag('low', k) if k else 'low'} < {lag('ll', k) if k else 'll'} AND close > {lag('ll', k) if k else 'll'} AND {lag('la', k) if k else 'la'} >= 3, false)" for k in range(3)) + " AS bull, " + " OR ".join(f"coalesce({lag('high', k) if k else 'high'} > {lag('hh', k) if k else 'hh'} AND close < {lag('hh', k) if k else 'hh'} AND {lag('ha', k) if k else 'ha'} >= 3, false)" for k in range(3)) + f" AS bear FROM x), z AS (SELECT *, coalesce({lag('bull')}, false) AS pb, coalesce({lag('bear')}, false) AS pr FROM y) "
-query("pat_turtle_soup", TS + events_sql("z", [("2B bottom / Turtle soup", "False breakout", 1, "bull AND NOT pb", "ll"), ("2B top / Turtle soup", "False breakout", -1, "bear AND NOT pr", "hh")]))(lambda spark, sf: P.turtle_soup(B.walk(spark, sf)))
+PATTERN_SQL["pat_turtle_soup"] = TS + events_sql("z", [("2B bottom / Turtle soup", "False breakout", 1, "bull AND NOT pb", "ll"), ("2B top / Turtle soup", "False breakout", -1, "bear AND NOT pr", "hh")])
+query("pat_turtle_soup", PATTERN_SQL["pat_turtle_soup"])(lambda spark, sf: P.turtle_soup(B.walk(spark, sf)))
 FB = f", x0 AS (SELECT *, {lag('close')} AS pc, round(({div('close', lag('close', 60))}) - 1, 8) AS r60 FROM b), x AS (SELECT *, " + ", ".join(f"{prev('max', 'high', w)} AS bh{w}, {prev('min', 'low', w)} AS bl{w}, {lag('r60', w)} AS pr{w}" for w in (25, 40, 60)) + " FROM x0) "
-query("pat_flat_base", FB + events_sql("x", [(f"Flat base breakout ({w}d)", "IBD bases", 1, f"round(bh{w} / bl{w} - 1, 8) <= 0.15 AND close > bh{w} AND pc <= bh{w} AND pr{w} >= 0.20", f"bh{w}") for w in (25, 40, 60)]))(lambda spark, sf: P.flat_bases(B.walk(spark, sf)))
+PATTERN_SQL["pat_flat_base"] = FB + events_sql("x", [(f"Flat base breakout ({w}d)", "IBD bases", 1, f"round(bh{w} / bl{w} - 1, 8) <= 0.15 AND close > bh{w} AND pc <= bh{w} AND pr{w} >= 0.20", f"bh{w}") for w in (25, 40, 60)])
+query("pat_flat_base", PATTERN_SQL["pat_flat_base"])(lambda spark, sf: P.flat_bases(B.walk(spark, sf)))
 ED = f", x AS (SELECT *, round(({div('close', lag('close', 2))}) - 1, 8) AS d2 FROM b), y AS (SELECT *, {lag('d2')} AS p FROM x) "
-query("pat_event_decline", ED + events_sql("y", [("Event decline (>=15% in 2 days)", "Event decline", 1, "d2 <= -0.15 AND p > -0.15", "close")]))(lambda spark, sf: P.event_declines(B.walk(spark, sf)))
+PATTERN_SQL["pat_event_decline"] = ED + events_sql("y", [("Event decline (>=15% in 2 days)", "Event decline", 1, "d2 <= -0.15 AND p > -0.15", "close")])
+query("pat_event_decline", PATTERN_SQL["pat_event_decline"])(lambda spark, sf: P.event_declines(B.walk(spark, sf)))
 _nr = ", x AS (SELECT *, round(high - low, 2) AS rng FROM b), y AS (SELECT *, rng <= (" + roll("min", "rng", 7) + f") AS nr, high <= {lag('high')} AND low >= {lag('low')} AS ins FROM x), "
 _nr += "e AS (SELECT a.symbol, c.date, c.t, a.t AS bt, kind, d, CASE WHEN d > 0 THEN a.high ELSE a.low END AS level FROM (SELECT *, unnest(['NR7', 'Inside day']) AS kind FROM y) a JOIN b c ON c.symbol = a.symbol AND c.t BETWEEN a.t + 1 AND a.t + 3, (VALUES (1), (-1)) v(d) WHERE (CASE WHEN kind = 'NR7' THEN a.nr ELSE a.ins END) AND (c.close - CASE WHEN d > 0 THEN a.high ELSE a.low END) * d > 0), "
 _nr += "f AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY symbol, bt, kind, d ORDER BY t) = 1) SELECT symbol, date, t, kind || ' breakout ' || CASE WHEN d > 0 THEN 'up' ELSE 'down' END AS pattern, 'Range contraction' AS family, d AS dir, round(arg_max(level, bt), 6) AS level FROM f GROUP BY symbol, date, t, kind, d"
 query("pat_nr7_inside", _nr)(lambda spark, sf: P.contraction_breaks(B.walk(spark, sf)))
-for _name, _f in (("pat_wyckoff", P.wyckoff), ("pat_volume", P.volume_patterns)):
-    query(_name)(lambda spark, sf, f=_f: f(B.walk(spark, sf)))
+
+
+def with_atr_sql(src: str) -> tuple[str, str]:
+    return derive_sql(src, P.ATR, ["atr"], "wa")
+
+
+_atr, _last = with_atr_sql("b")
+_narrow = f"round({div('hi - lo', 'close')}, 8) < 0.20"
+WY = _atr + f", x AS (SELECT * REPLACE (round(atr, 8) AS atr), {prev('max', 'high', 40)} AS hi, {prev('min', 'low', 40)} AS lo FROM {_last}) "
+WY += events_sql("x", [("Wyckoff spring", "Wyckoff", 1, f"{_narrow} AND low < lo AND low > round(lo - 1.5 * atr, 8) AND close > lo", "lo"), ("Wyckoff upthrust", "Wyckoff", -1, f"{_narrow} AND high > hi AND high < round(hi + 1.5 * atr, 8) AND close < hi", "hi")])
+query("pat_wyckoff", WY)(lambda spark, sf: P.wyckoff(B.walk(spark, sf)))
+VO = _atr + f", x AS (SELECT *, {lag('close')} AS pc, round({roll('mean', 'close', 50)}, 8) AS s50, round({roll('mean', 'close', 200)}, 8) AS s200, {roll('mean', 'volume', 50)} AS v50, {prev('min', 'low', 20)} AS ll, {prev('max', 'high', 20)} AS hh, {lag('close', 10)} AS c10 FROM {_last}), "
+VO += f"y AS (SELECT *, CASE WHEN close < pc THEN volume ELSE 0.0 END AS dv, round(volume / greatest(v50, 1.0), 8) AS volx, round(({div('close', 'c10')}) - 1, 8) AS r10, round(high - low - 2 * atr, 8) > 0 AS wide, round((high + low) / 2, 8) AS middle FROM x), z AS (SELECT *, {prev('max', 'dv', 10)} AS dv10 FROM y) "
+VO += events_sql("z", [("Pocket pivot", "Volume patterns", 1, f"close > pc AND volume > dv10 AND close > s50 AND round(abs(({div('close', 's50')}) - 1), 8) < 0.10 AND s50 > s200", "close"), ("Selling climax (reversal)", "Volume patterns", 1, "volx >= 3 AND v50 IS NOT NULL AND wide AND low <= ll AND close > middle AND r10 < -0.10", "close"), ("Buying climax (reversal)", "Volume patterns", -1, "volx >= 3 AND v50 IS NOT NULL AND wide AND high >= hh AND close < middle AND r10 > 0.10", "close")])
+query("pat_volume", VO)(lambda spark, sf: P.volume_patterns(B.walk(spark, sf)))
+
+
+def gaps_sql(src: str) -> str:
+    atr, last = with_atr_sql(src)
+    sql = atr + f", x AS (SELECT *, {lag('close')} AS pc, {lag('high')} AS ph, {lag('low')} AS pl, {prev('max', 'high', 40)} AS hi, {prev('min', 'low', 40)} AS lo, {roll('mean', 'volume', 50)} AS v50, {lag('close', 20)} AS c20 FROM {last}), "
+    sql += f"y AS (SELECT *, round(abs(open - pc) - 0.5 * atr, 8) >= 0 AS big, round((hi - lo) / close, 8) < 0.25 AND v50 IS NOT NULL AND round(volume / greatest(v50, 1.0), 8) >= 1.5 AS tight, round(({div('close', 'c20')}) - 1, 8) AS r20 FROM x) "
+    return sql + events_sql("y", [("Breakaway gap up", "Gaps", 1, "low > ph AND big AND close > hi AND tight", "ph"), ("Breakaway gap down", "Gaps", -1, "high < pl AND big AND close < lo AND tight", "pl"), ("Runaway gap up", "Gaps", 1, "low > ph AND big AND r20 > 0.15 AND coalesce(NOT close > hi, true)", "ph"), ("Runaway gap down", "Gaps", -1, "high < pl AND big AND r20 < -0.15 AND coalesce(NOT close < lo, true)", "pl")])
+
+
+def islands_sql(src: str) -> str:
+    frame = lambda k: f"({S} ROWS BETWEEN {k} PRECEDING AND 1 PRECEDING)"
+    kinds = ", ".join(f"CASE WHEN max(high) OVER {frame(k)} < {lag('low', k + 1)} AND max(high) OVER {frame(k)} < low THEN 1 WHEN min(low) OVER {frame(k)} > {lag('high', k + 1)} AND min(low) OVER {frame(k)} > high THEN -1 END" for k in range(1, 16))
+    return f", x AS (SELECT *, coalesce({kinds}) AS kind FROM {src}) " + events_sql("x", [("Island bottom", "Island reversal", 1, "kind = 1", "low"), ("Island top", "Island reversal", -1, "kind = -1", "high")])
 
 
 def noisy(spark, sf) -> DataFrame:
     return B.daily_bars(B.table(spark, sf, "lineitem")).withColumn("t", F.row_number().over(by_symbol()) - 1)
 
 
-query("pat_gaps")(lambda spark, sf: P.gaps(noisy(spark, sf)))
-query("pat_islands")(lambda spark, sf: P.islands(noisy(spark, sf)))
-EVENTS = HIGHS + ", x2 AS (SELECT *, " + KEYR.split("SELECT *, ", 1)[1].split(" FROM b")[0] + " FROM b), ev AS (" + events_sql("z", [("52-week high breakout", "New highs / lows", 1, "fh", "hi"), ("52-week low breakdown", "New highs / lows", -1, "fl", "lo")]) + " UNION ALL " + events_sql("x2", [("Key reversal day (bullish)", "Reversal bars", 1, "low < ll AND close > pc AND high > ph", "close"), ("Key reversal day (bearish)", "Reversal bars", -1, "high > hh AND close < pc AND low < pl", "close")]) + "), n AS (SELECT symbol, max(t) AS n FROM b GROUP BY 1)"
+_t0 = DAILY + f", b0 AS (SELECT *, row_number() OVER ({S}) - 1 AS t FROM b)"
+query("pat_gaps", _t0 + gaps_sql("b0"), bars=False)(lambda spark, sf: P.gaps(noisy(spark, sf)))
+query("pat_islands", _t0 + islands_sql("b0"), bars=False)(lambda spark, sf: P.islands(noisy(spark, sf)))
+#: The SQL of every bar pattern, each with its own tables over b.
+EVENTS = ", ev AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT * FROM (WITH RECURSIVE {q.removeprefix(', ')})" for q in (PATTERN_SQL["pat_new_highs"], PATTERN_SQL["pat_key_reversal"], PATTERN_SQL["pat_turtle_soup"], WY, _nr, VO, PATTERN_SQL["pat_flat_base"], gaps_sql("b"), PATTERN_SQL["pat_event_decline"], islands_sql("b"))) + "), n AS (SELECT symbol, max(t) AS n FROM b GROUP BY 1)"
 
 
 def some_events(spark, sf) -> DataFrame:
-    bars = B.walk(spark, sf)
-    return P.new_highs(bars).filter("pattern not like 'Multi%'").unionByName(P.key_reversals(bars))
+    return P.all_events(B.walk(spark, sf))
 
 
 query("u2_event_union", EVENTS + " SELECT symbol, date, pattern, dir FROM ev")(lambda spark, sf: some_events(spark, sf).select("symbol", "date", "pattern", "dir"))
 _cnt = {f"{s}{c}_{k}": f"count(ev.t) FILTER (WHERE dir {o} 0 AND n - ev.t < {k}{cl})" for s, o in (("bull", ">"), ("bear", "<")) for k in (5, 20) for c, cl in (("", ""), ("_classic", " AND family NOT IN ('Range contraction', 'Divergence', 'Reversal bars', 'Volume patterns')"))}
 query("a4_pattern_counts", EVENTS + ", c AS (SELECT n.symbol, " + ", ".join(f"{e} AS {k}" for k, e in _cnt.items()) + " FROM n LEFT JOIN ev USING (symbol) GROUP BY n.symbol) SELECT *, bull_20 - bear_20 AS net_20 FROM c", dates=())(lambda spark, sf: P.pattern_counts(some_events(spark, sf), B.walk(spark, sf)))
-_names = {"52-week high breakout": "pat_52_week_high_breakout", "Key reversal day (bullish)": "pat_key_reversal_day_bullish"}
+_names = {p: P.pattern_id(p) for p in re.findall(r"'([^']*)' AS pattern", EVENTS)} | {p: P.pattern_id(p) for k in ("NR7", "Inside day") for w in ("up", "down") for p in [f"{k} breakout {w}"]}
 query("a5_pattern_decay", EVENTS + " SELECT n.symbol, " + ", ".join(f"round(coalesce(max(CASE WHEN pattern = '{p}' AND n - ev.t <= 30 THEN exp(-(n - ev.t) / 10.0) END), 0.0), 6) AS {i}" for p, i in _names.items()) + " FROM n LEFT JOIN ev USING (symbol) GROUP BY n.symbol", dates=())(lambda spark, sf: P.pattern_decay(some_events(spark, sf), B.walk(spark, sf), list(_names)))
 
 
@@ -350,10 +386,9 @@ def decisions(spark, sf) -> DataFrame:
 
 CAL = "(VALUES " + ", ".join(f"('{tf}', {k}, '{D.LABELS[k]}', {round(0.15 + 0.05 * i + 0.03 * k, 4)}::DOUBLE, {round(-0.5 + 0.3 * k, 4)}::DOUBLE, {thr}::DOUBLE)" for i, (tf, thr) in enumerate((("ST", 0.5), ("MT", 1.0), ("LT", 2.0))) for k in range(6)) + ") cal(tf, k, label, y, ret, thr)"
 PROVEN = "(VALUES " + ", ".join(f"('{tf}', '{p}', {d}, {e}::DOUBLE, {x}::DOUBLE, {h}::DOUBLE)" for tf, p, d, e, x, h in [(tf, "52-week high breakout", 1, 1.0, 0.6, 0.02) for tf in ("ST", "MT", "LT")] + [("ST", "Key reversal day (bearish)", -1, -1.0, 0.7, 0.03), ("MT", "Key reversal day (bullish)", 1, 1.0, 0.4, 0.01), ("ST", "52-week low breakdown", -1, -1.0, 0.9, 0.2)]) + ") pr(tf, pattern, dir, eff, ex, hx)"
-_ev = EVENTS.replace(", x AS (", ", ex_ AS (", 1).replace("FROM x)", "FROM ex_)", 1)
 _bk = lambda q: "CASE " + " ".join(f"WHEN {q} >= {e} THEN {k}" for k, e in ((5, 0.95), (4, 0.85), (3, 0.7), (2, 0.5), (1, 0.2))) + f" WHEN {q} IS NOT NULL THEN 0 END"
 DECIDE = (
-    _ev + LASTP + f", evi AS (SELECT DISTINCT ev.symbol, pr.tf, eff > 0 AS pro, ev.pattern, ex, hx FROM ev JOIN n USING (symbol) JOIN {PROVEN} ON pr.pattern = ev.pattern AND pr.dir = ev.dir WHERE n - ev.t < 60), es AS (SELECT symbol, tf, sum(CASE WHEN pro THEN ex ELSE -ex END) AS net_ret, sum(CASE WHEN pro THEN hx ELSE -hx END) AS net_hit FROM evi GROUP BY 1, 2), "
+    EVENTS + LASTP + f", evi AS (SELECT DISTINCT ev.symbol, pr.tf, eff > 0 AS pro, ev.pattern, ex, hx FROM ev JOIN n USING (symbol) JOIN {PROVEN} ON pr.pattern = ev.pattern AND pr.dir = ev.dir WHERE n - ev.t < 60), es AS (SELECT symbol, tf, sum(CASE WHEN pro THEN ex ELSE -ex END) AS net_ret, sum(CASE WHEN pro THEN hx ELSE -hx END) AS net_hit FROM evi GROUP BY 1, 2), "
     f"ro AS (SELECT symbol, close, round(close * 0.02, 4) AS atr, t >= 209 AS el, CASE WHEN t >= 209 THEN ret_63 END AS pl, CASE WHEN t >= 209 THEN -ret_21 END AS ps FROM lp), rk AS (SELECT *, round({pct_rank('pl', '1')}, 8) AS qb, round({pct_rank('ps', '1')}, 8) AS qs FROM ro), "
     f"kk AS (SELECT rk.*, tf.*, {_bk('qb')} AS kl, {_bk('qs')} AS ks FROM rk, {TF}), jj AS (SELECT kk.*, l.label AS l_label, s.label AS s_label, l.y, l.ret, l.thr, net_ret, coalesce(net_hit, 0.0) AS net_hit, ks >= 5 AS s_abs FROM kk LEFT JOIN {CAL.replace('cal(', 'l(')} ON l.tf = kk.tf AND l.k = kl LEFT JOIN {CAL.replace('cal(', 's(')} ON s.tf = kk.tf AND s.k = ks LEFT JOIN es ON es.symbol = kk.symbol AND es.tf = kk.tf), "
     "nn AS (SELECT *, round(least(greatest(coalesce(net_ret, 0.0), -3 * thr), 3 * thr), 8) AS net, greatest(-0.10, least(0.10, net_hit)) AS hit, kl >= 4 AS lm, ks >= 4 AS am FROM jj), "
