@@ -306,11 +306,16 @@ query(
     dates=("signal_date",),
 )(lambda spark, sf: (lambda bars: L.evaluate_avoids(L.crossover_calls(bars).filter("kind = 'SHORT'"), bars))(B.walk(spark, sf)))
 _rate = lambda a, b: f"round(count_if({a})::DOUBLE / nullif(count_if({b}), 0), 6)"
-query(
-    "c11_success_groups",
+SUCCESS = (
     EVAL + ", l2 AS (SELECT *, status IN ('Target hit', 'Stop hit', 'Time exit', 'Correct', 'Wrong') AS closed, status IN ('Pending', 'Open') AS run, max(status IN ('Pending', 'Open')) OVER (PARTITION BY signal_date, tf, kind) AS anyopen, strftime(signal_date, '%Y-%m') AS month, coalesce(outcome = 'Win', false) AS win FROM led), l3 AS (SELECT *, closed AND NOT anyopen AS mature FROM l2) "
+    ", sc0 AS ("
     "SELECT CASE WHEN grouping(month) = 0 THEN 'MONTH' WHEN grouping(tf) = 0 THEN 'GROUP' WHEN grouping(kind) = 0 THEN 'KIND' ELSE 'OVERALL' END AS level, kind, tf, month, count(*) AS calls, count_if(closed)::BIGINT AS closed, count_if(run)::BIGINT AS running, count_if(mature)::BIGINT AS mature, count_if(status = 'Not triggered')::BIGINT AS not_triggered, "
-    f"{_rate('closed AND win', 'closed')} AS success_rate, {_rate('mature AND win', 'mature')} AS success_rate_mature, {_rate("closed AND status = 'Target hit'", 'closed')} AS target_hit_rate, round(sum(CASE WHEN closed THEN round(1e6 * result_pct) END) / count(CASE WHEN closed THEN result_pct END)) / 1e6 AS avg_result_pct FROM l3 GROUP BY GROUPING SETS ((), (kind), (kind, tf), (month))",
+    f"{_rate('closed AND win', 'closed')} AS success_rate, {_rate('mature AND win', 'mature')} AS success_rate_mature, {_rate("closed AND status = 'Target hit'", 'closed')} AS target_hit_rate, round(sum(CASE WHEN closed THEN round(1e6 * result_pct) END) / count(CASE WHEN closed THEN result_pct END)) / 1e6 AS avg_result_pct FROM l3 GROUP BY GROUPING SETS ((), (kind), (kind, tf), (month))"
+    ")"
+)
+query(
+    "c11_success_groups",
+    SUCCESS + " SELECT * FROM sc0",
     dates=(),
 )(lambda spark, sf: L.success(ledger(spark, sf)))
 query("j12_mature_groups", EVAL + " SELECT signal_date, tf, kind, count(*) AS n FROM led GROUP BY 1, 2, 3 HAVING count_if(status IN ('Pending', 'Open')) = 0", dates=("signal_date",))(
