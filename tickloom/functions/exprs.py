@@ -19,8 +19,8 @@ def half_up(x: str | Column, digits: int) -> Column:
 
 
 def r6(x: str | Column) -> Column:
-    """Rounded to six decimals, as results are compared."""
-    return half_up(x, 6)
+    """Rounded to six decimals, as results are compared; to nine first, which drops what the order of a sum leaves."""
+    return half_up(F.round(col(x), 9), 6)
 
 
 def safe_div(a: str | Column, b: str | Column) -> Column:

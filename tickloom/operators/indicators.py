@@ -163,7 +163,7 @@ def normalised(name: str) -> str:
     kind = name.removeprefix("ta_")
     kind = kind if kind in PRICE_LEVEL + PRICE_DIFF else "_".join(kind.split("_")[:-1]) if "_" in kind else kind
     special = {
-        "ta_SUPERTREND_trend": name, "ta_SAREXT": dist("close", "abs(ta_SAREXT)"), "ta_VAR": f"100 * {div('sqrt(greatest(ta_VAR, 0.0))', 'close')}", "ta_ADOSC": div("ta_ADOSC", "vol20"), "ta_EFI": f"100 * {div('ta_EFI', 'close * vol20')}",
+        "ta_SUPERTREND_trend": name, "ta_LINEARREG_ANGLE": name, "ta_SAREXT": dist("close", "abs(ta_SAREXT)"), "ta_VAR": f"100 * {div('sqrt(greatest(ta_VAR, 0.0))', 'close')}", "ta_ADOSC": div("ta_ADOSC", "vol20"), "ta_EFI": f"100 * {div('ta_EFI', 'close * vol20')}",
         "ta_MARKETFI": f"ln(1 + greatest({div('ta_MARKETFI * vol20', 'close')}, 0.0))", "ta_FRACTAL_swinghigh": f"{name} / 100", "ta_FRACTAL_swinglow": f"{name} / 100",
     }
     return special.get(name) or (dist("close", name) if kind in PRICE_LEVEL else f"100 * {div(name, 'close')}" if kind in PRICE_DIFF else name)

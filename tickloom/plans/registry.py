@@ -106,7 +106,7 @@ with_m(
 with_m("j1_bench_align", lambda bars, m: W.with_bench(bars, m).select("symbol", "date", F.round("bench", 6).alias("bench")), BM + " SELECT symbol, date, round(bench, 6) AS bench FROM bm")
 simple("w7_linreg", W.linear_regression, ", x AS (SELECT *, ln(close) AS y, t::DOUBLE AS tt FROM b) SELECT " + cols({k: v for n in (50, 100, 200) for k, v in {f"linreg_slope_{n}": f"CASE WHEN {fr('count(y)', n)} >= {n} THEN 100 * {fr('regr_slope(y, tt)', n)} END", f"linreg_r2_{n}": f"CASE WHEN {fr('count(y)', n)} >= {n} THEN {fr('regr_r2(y, tt)', n)} END"}.items()}) + " FROM x")
 simple("w8_skew_kurt", W.skew_kurt, LR + f", y AS (SELECT *, {lag('lr')} AS lr1 FROM x) SELECT " + cols({"skew_60": f"CASE WHEN {fr('count(lr)', 60)} >= 60 THEN {fr('skewness(lr)', 60)} END", "kurt_60": f"CASE WHEN {fr('count(lr)', 60)} >= 60 THEN {fr('kurtosis(lr)', 60)} END", "autocorr1_60": f"CASE WHEN {fr('count(lr1)', 60)} >= 60 THEN {fr('corr(lr, lr1)', 60)} END"}) + " FROM y")
-simple("w9_maxdd", W.max_drawdown, ", x AS (SELECT a.symbol, a.date, a.t, c.t AS ct, c.close AS c, max(c.close) OVER (PARTITION BY a.symbol, a.t ORDER BY c.t) AS peak FROM b a JOIN b c ON c.symbol = a.symbol AND c.t BETWEEN a.t - 59 AND a.t) SELECT symbol, date, round(CASE WHEN count(*) >= 48 THEN 100 * min(c / peak - 1) END, 6) AS maxdd_60 FROM x GROUP BY symbol, date")
+simple("w9_maxdd", W.max_drawdown, ", x AS (SELECT a.symbol, a.date, a.t, c.t AS ct, c.close AS c, max(c.close) OVER (PARTITION BY a.symbol, a.t ORDER BY c.t) AS peak FROM b a JOIN b c ON c.symbol = a.symbol AND c.t BETWEEN a.t - 59 AND a.t) SELECT symbol, date, " + r("CASE WHEN count(*) >= 48 THEN 100 * min(c / peak - 1) END") + " AS maxdd_60 FROM x GROUP BY symbol, date")
 _w = [2.718281828459045 ** (-((i - 6.8) ** 2) / (2 * 1.5**2)) for i in range(9)]
 _alma = " + ".join(f"{w / sum(_w)!r} * {lag('close', 8 - i)}" if i < 8 else f"{w / sum(_w)!r} * close" for i, w in enumerate(_w))
 simple("w10_alma", W.alma, f", x AS (SELECT *, {_alma} AS a FROM b) SELECT " + cols({"alma9": "a", "dist_alma9": dist("close", "a")}) + " FROM x")

@@ -418,7 +418,7 @@ def c8_ledger_insert(spark, sf):
     return L.insert_calls(old, c.filter("signal_date >= DATE '2000-01-01'").select("symbol", "tf", "kind", "signal_date"))
 
 
-@query("j9_market_average", CALLS + ", s AS (SELECT DISTINCT signal_date AS d0, b.date AS d1 FROM calls JOIN b ON b.symbol = calls.symbol AND b.t = t0 + max_days) SELECT d0, d1, floor(avg(y.close / x.close - 1) * 1e6 + 0.5) / 1e6 AS mkt FROM s JOIN b x ON x.date = d0 JOIN b y ON y.date = d1 AND y.symbol = x.symbol GROUP BY 1, 2", dates=("d0", "d1"))
+@query("j9_market_average", CALLS + ", s AS (SELECT DISTINCT signal_date AS d0, b.date AS d1 FROM calls JOIN b ON b.symbol = calls.symbol AND b.t = t0 + max_days) SELECT d0, d1, floor(round(avg(y.close / x.close - 1), 9) * 1e6 + 0.5) / 1e6 AS mkt FROM s JOIN b x ON x.date = d0 JOIN b y ON y.date = d1 AND y.symbol = x.symbol GROUP BY 1, 2", dates=("d0", "d1"))
 def j9_market_average(spark, sf):
     bars = B.walk(spark, sf)
     c = L.crossover_calls(bars).withColumn("t1", F.col("t0") + F.col("max_days"))
