@@ -13,7 +13,11 @@ from tickloom.plans.ledger import insert_calls
 
 def state_folder(spark: SparkSession, name: str) -> str:
     """A folder that driver and executors share: under spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="tickloom-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="tickloom-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -48,7 +52,7 @@ def append_sessions(stored: DataFrame, new: DataFrame) -> DataFrame:
 def run_ledger(spark: SparkSession, folder: str, schema, ledger: str) -> DataFrame:
     """Streams files of calls (symbol, tf, kind, signal_date), a session each, into the ledger table; returns it.
 
-    Versions alternate between two folders, so that a batch reads the last one whole and a batch that is run again starts from it.
+    Each batch writes a version of its own, so that a batch that is run again starts from the one before; without new files the newest stays.
     """
     source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
     columns = "symbol LONG, tf STRING, kind STRING, signal_date DATE, status STRING, repeat_count INT, last_seen DATE"
@@ -56,9 +60,10 @@ def run_ledger(spark: SparkSession, folder: str, schema, ledger: str) -> DataFra
     def step(calls: DataFrame, batch: int) -> None:
         old = spark.read.schema(columns).parquet(f"{ledger}/v{batch - 1}") if batch else spark.createDataFrame([], columns)
         insert_calls(old, calls).write.mode("overwrite").parquet(f"{ledger}/v{batch}")
-        last.append(batch)
 
-    last: list[int] = []
     query = source.writeStream.option("checkpointLocation", f"{ledger}/state").trigger(availableNow=True).foreachBatch(step).start()
     query.awaitTermination()
-    return spark.read.schema(columns).parquet(f"{ledger}/v{last[-1]}")
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{ledger}/v*")
+    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    versions = [int(f.getPath().getName()[1:]) for f in found]
+    return spark.read.schema(columns).parquet(f"{ledger}/v{max(versions)}") if versions else spark.createDataFrame([], columns)
