@@ -40,8 +40,9 @@ def got(df, **k):
     return sorted(str((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept))) for r in S.remove_repeats(df, **k).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept").collect())
 
 
-@pytest.mark.parametrize(("length", "gram", "run"), [(40, 8, 2000), (200, 40, 1 << 20), (30, 30, 1 << 20)])
-def test_equals_brute_force(spark, monkeypatch, length, gram, run):
+@pytest.mark.parametrize(("length", "gram", "run", "hot"), [(40, 8, 2000, 20_000), (40, 8, 2000, 2), (60, 8, 2000, 4), (200, 40, 1 << 20, 3), (30, 30, 1 << 20, 2)])
+def test_equals_brute_force(spark, monkeypatch, length, gram, run, hot):
+    monkeypatch.setattr(S, "HOT", hot)
     monkeypatch.setattr(S, "RUN_BYTES", run)
     monkeypatch.setattr(S, "CHUNK_BYTES", run)
     data = rows(length, length)
@@ -49,6 +50,23 @@ def test_equals_brute_force(spark, monkeypatch, length, gram, run):
     assert got(df, length=length, gram=gram) == brute(data, length)
 
 
+def test_hot_strings_reach_every_level(spark, monkeypatch):
+    r = random.Random(1)
+    text = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    header, passage = text(35), text(90)
+    data = [(i, text(r.randint(20, 60)) + (header if i % 3 else passage) + text(r.randint(20, 60))) for i in range(60)]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    monkeypatch.setattr(S, "HOT", 5)
+    texts = df.selectExpr("doc_id", "doc_id AS th", "text")
+    hot = []
+    for _ in range(2):
+        hot.append(S.hot_strings(texts, 40, 8, hot))
+        assert hot[-1] is not None
+    levels = {row.part // 4 for row in S.sorted_runs(texts, 4, 40, 8, hot).collect()}
+    assert levels == {0, 1, 2}
+    assert got(df, length=40, gram=8) == brute(data, 40)
+
+
 def test_equals_brute_force_on_documents(spark):
     t = pq.read_table("/root/testdata/sf0.001/documents.parquet").to_pydict()
     data = list(zip(t["doc_id"], t["text"], strict=True))

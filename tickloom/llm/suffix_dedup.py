@@ -12,8 +12,12 @@ beyond what they are known to share, and the tree yields the common prefixes of
 far to the right an anchor's windows can be repeated; the same bound to the left comes from sorting what precedes the anchors. A
 window within both bounds is looked up among its group's windows by its bytes, so a removal never rests on a hash.
 
-Equal suffixes with equal left sides are one entry with a list of places, so groups of copies stay small. A group holds one
-entry for each distinct context of a string of GRAM bytes; that is what one task must hold.
+Equal suffixes with equal left sides are one entry, whose places are passed on as soon as there are two of them, so groups of
+copies stay small. What one task holds is an entry for each distinct context of its groups' strings. A string that is an anchor in
+more than `HOT` contexts (counted over the whole table by a partial aggregation, a context once for each run) is dealt more finely:
+its windows by ranges of `PIECES`-th of their places around the anchor, each range with the bytes that all its windows share, and
+where such a longer string is in more than HOT contexts as well, by whole windows, of which equal ones are one entry. Equal windows
+meet at every level. What is hot is sent to the tasks as a bitmap of fixed size; a false hit there deals a string more finely than needed.
 
 Nulls and edges: a null text is empty; texts shorter than LENGTH lose nothing; rows that repeat number and text are copies of each
 other; an empty table gives no rows; columns of the input pass through, those named like an added one are replaced.
@@ -35,6 +39,10 @@ from tickloom.llm.common import ODD_INVERSE, add_columns, arrow_schema, mix, num
 
 LENGTH, GRAM = 200, 24
 RUN_BYTES, PART_BYTES, CHUNK_BYTES = 12 << 20, 8 << 20, 1 << 20
+#: Contexts of one string that a task may hold, the parts that a hotter string's windows are dealt in, bits of the hot strings' bitmap.
+HOT, PIECES, HOT_BITS = 20_000, 8, 22
+#: Stands for the places of an entry that have been passed on already.
+PASSED = [(None, 0, -1)] * 2
 
 
 def anchors(raw: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -66,6 +74,50 @@ def anchors(raw: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[
     return place[new], h[place[new]], at[new], at[np.append(new[1:], len(at)) - 1] if len(at) else none
 
 
+def span_hash(s: np.ndarray, first: np.ndarray, past: np.ndarray) -> np.ndarray:
+    """Hashes of the bytes from first to past, by prefix sums of all bytes."""
+    return mix((s[past] - s[first]) * powers(ODD_INVERSE, len(s))[first])
+
+
+Spans = tuple[np.ndarray, np.ndarray, np.ndarray]  # of entries: where what precedes begins, where the suffix does, where it ends
+
+
+def split(spans: Spans, width: int, length: int) -> tuple[Spans, np.ndarray]:
+    """Entries whose windows lie in one range of width places each, beginning at the bytes that a range's windows share; where these end."""
+    first, root, past = spans
+    near, far = root + length - past, root - first  # how far before the root the last and the first window begin
+    n = far // width - near // width + 1
+    of = np.repeat(np.arange(len(n)), n)
+    low = (np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n) + (near // width)[of]) * width
+    at = root[of]
+    return (at - np.minimum(low + width - 1, far[of]), at - low, at - np.maximum(low, near[of]) + length), at + length - (low + width - 1)
+
+
+def is_hot(bitmap: np.ndarray | None, h: np.ndarray) -> np.ndarray:
+    if bitmap is None:
+        return np.zeros(len(h), bool)
+    slot = (h >> np.uint64(64 - HOT_BITS)).astype(np.int64)
+    return (bitmap[slot >> 6] >> (slot & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+
+
+def entry_spans(raw: np.ndarray, ends: np.ndarray, length: int, gram: int, hot: list[np.ndarray]) -> list[tuple[np.ndarray, Spans]]:
+    """Hash and spans of the texts' entries at each level; hot has a bitmap for each level that is known, and levels beyond have no entry."""
+    at, h, low, high = anchors(raw, ends, length, gram)
+    spans, levels = (low, at, high + length), []
+    sums = prefix_sums(raw) if hot else None
+    for bitmap, width in zip(hot, (max(1, (length - gram + 1) // PIECES), 1), strict=False):
+        finer = is_hot(bitmap, h)
+        levels.append((h[~finer], tuple(x[~finer] for x in spans)))
+        spans, shared = split(tuple(x[finer] for x in spans), width, length)
+        h = span_hash(sums, spans[1], shared)
+    return [*levels, (h, spans)]
+
+
+def grams(length: int, gram: int) -> list[int]:
+    """How many first bytes the entries of a group share, at each level."""
+    return [gram, length + 1 - max(1, (length - gram + 1) // PIECES), length]
+
+
 def common_prefix(a: bytes, b: bytes, known: int = 0) -> int:
     """How many first bytes a and b share, of which `known` are known."""
     n = min(len(a), len(b))
@@ -148,16 +200,9 @@ def merge_runs(runs: list[Iterator[tuple[int, bytes, bytes, list]]]) -> Iterator
 
 
 def repeated(group: list[tuple[int, bytes, bytes, list]], length: int) -> Iterator[tuple[list, list[tuple[int, int]]]]:
-    """Of a group's entries in order: places, and the runs of repeated windows as (bytes before the anchor, bytes from it on)."""
+    """Of a group's distinct entries in order: places, and the runs of repeated windows as (bytes before the anchor, bytes from it on)."""
     reach = [max(group[i][0] if i else 0, group[i + 1][0] if i + 1 < len(group) else 0) for i in range(len(group))]
-    same: dict[tuple[bytes, bytes], int] = {}
-    entries: list[list] = []
-    for (_, suffix, left, places), r in zip(group, reach, strict=True):
-        k = same.setdefault((suffix, left), len(entries))
-        if k == len(entries):
-            entries.append([suffix, left, list(places), r])
-        else:
-            entries[k][2] += places
+    entries = [(suffix, left, places, r) for (_, suffix, left, places), r in zip(group, reach, strict=True)]
     back = sorted(range(len(entries)), key=lambda i: entries[i][1][::-1])
     left_reach = [0] * len(entries)
     for i, j in zip(back, back[1:], strict=False):
@@ -197,8 +242,53 @@ RUN = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("run",
 SPAN = T.StructType([T.StructField(n, T.LongType()) for n in ("doc_id", "th", "first", "past")])
 
 
-def sorted_runs(docs: DataFrame, parts: int, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """part, run: front-coded sorted runs of the anchored suffixes of docs (doc_id, th, text)."""
+def hot_strings(docs: DataFrame, length: int, gram: int, hot: list[np.ndarray]) -> np.ndarray | None:
+    """A bitmap of the strings of the level after those of hot that are in more than HOT contexts, or None if there are none."""
+    small_batches(docs.sparkSession)
+
+    def counts(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        h, context = (np.concatenate(x) for x in zip(*found, strict=True))
+        h, n = np.unique(h[np.unique(context, return_index=True)[1]], return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
+
+    def find(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        raw = np.frombuffer(b"".join(texts), np.uint8)
+        h, (first, _, past) = entry_spans(raw, np.cumsum([len(t) for t in texts]), length, gram, hot)[-1]
+        return h, span_hash(prefix_sums(raw), first, past)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, texts, size, total = [], [], 0, 0
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                raw = text.encode("utf-8") if text else b""
+                if len(raw) < length:
+                    continue
+                texts.append(raw)
+                size += len(raw)
+                if size >= CHUNK_BYTES:
+                    found.append(find(texts))
+                    total, size, texts = total + size, 0, []
+                    if total >= RUN_BYTES:
+                        yield counts(found)
+                        total, found = 0, []
+        if texts:
+            found.append(find(texts))
+        if found:
+            yield counts(found)
+
+    slot = F.shiftrightunsigned("h", 64 - HOT_BITS)
+    many = docs.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") > HOT)
+    words = many.select((slot / 64).cast("long").alias("word"), F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(h, {64 - HOT_BITS}) & 63 AS INT))").alias("bit"))
+    rows = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).collect()  # 2**(HOT_BITS - 6) rows at most
+    if not rows:
+        return None
+    out = np.zeros(1 << (HOT_BITS - 6), np.int64)
+    out[[r["word"] for r in rows]] = [r["bits"] for r in rows]
+    return out.view(np.uint64)
+
+
+def sorted_runs(docs: DataFrame, parts: int, length: int = LENGTH, gram: int = GRAM, hot: list[np.ndarray] | None = None) -> DataFrame:
+    """part, run: front-coded sorted runs of the anchored suffixes of docs (doc_id, th, text); each level has parts of its own."""
     small_batches(docs.sparkSession)
     schema = arrow_schema(RUN)
 
@@ -222,13 +312,13 @@ def sorted_runs(docs: DataFrame, parts: int, length: int = LENGTH, gram: int = G
     def find(texts: list[tuple], rows: list[tuple]) -> None:
         joined = b"".join(t for _, _, t in texts)
         ends = np.cumsum([len(t) for _, _, t in texts])
-        at, h, low, high = anchors(np.frombuffer(joined, np.uint8), ends, length, gram)
-        doc = np.searchsorted(ends, at, "right")
-        begin = np.concatenate(([0], ends[:-1]))[doc]
-        part = (h % np.uint64(parts)).astype(np.int64)
-        for p, a, b, k, d, s in zip(at.tolist(), low.tolist(), high.tolist(), part.tolist(), doc.tolist(), begin.tolist(), strict=True):
-            doc_id, th, _ = texts[d]
-            rows.append((k, joined[p : b + length], joined[a:p], doc_id or 0, doc_id is None, th, p - s))
+        begin = np.concatenate(([0], ends[:-1]))
+        for level, (h, (first, root, past)) in enumerate(entry_spans(np.frombuffer(joined, np.uint8), ends, length, gram, hot or [])):
+            doc = np.searchsorted(ends, root, "right")
+            part = (h % np.uint64(parts)).astype(np.int64) + level * parts
+            for a, p, b, k, d, s in zip(first.tolist(), root.tolist(), past.tolist(), part.tolist(), doc.tolist(), begin[doc].tolist(), strict=True):
+                doc_id, th, _ = texts[d]
+                rows.append((k, joined[p:b], joined[a:p], doc_id or 0, doc_id is None, th, p - s))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
@@ -259,25 +349,37 @@ def repeated_spans(runs: DataFrame, parts: int, length: int = LENGTH, gram: int
     """doc_id, th, first, past: bytes that repeated windows cover, from the runs of all suffixes."""
     schema = arrow_schema(SPAN)
 
-    def merged(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+    shares = grams(length, gram)
+
+    def merged(blobs: list[bytes], shared: int) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
-        group: list = []
+        group: list[list] = []
+        same: dict[bytes, list] = {}  # the entries of the last suffix, by what precedes
 
-        def end(group: list) -> None:
-            if len(group) > 1 or len(group[0][3]) > 1:
+        def end() -> None:
+            if len(group) > 1:
                 for places, spans in repeated(group, length):
-                    out.extend((d, t, p + a, p + b) for d, t, p in places for a, b in spans)
-
-        for entry in merge_runs([decode_run(b) for b in blobs]):
-            if group and entry[0] < gram:
-                end(group)
-                group = []
-                if len(out) > 50_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=schema)
-                    out.clear()
-            group.append(entry)
-        if group:
-            end(group)
+                    out.extend((d, t, p + a, p + b) for d, t, p in places if p >= 0 for a, b in spans)
+            group.clear()
+
+        for known, suffix, left, places in merge_runs([decode_run(b) for b in blobs]):
+            if known < shared:
+                end()
+            if group and known == len(suffix) == len(group[-1][1]):
+                entry = same.get(left)
+            else:
+                same, entry = {}, None
+            if entry is None:
+                entry = same[left] = [known, suffix, left, []]
+                group.append(entry)
+            entry[3] = entry[3] + places
+            if len(entry[3]) > 1:  # all its windows are repeated
+                out.extend((d, t, p - len(left), p + len(suffix)) for d, t, p in entry[3] if p >= 0)
+                entry[3] = PASSED
+            if len(out) > 50_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=schema)
+                out.clear()
+        end()
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=schema)
 
@@ -286,12 +388,12 @@ def repeated_spans(runs: DataFrame, parts: int, length: int = LENGTH, gram: int
         for batch in batches:
             for part, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if part != now and blobs:
-                    yield from merged(blobs)
+                    yield from merged(blobs, shares[now // parts])
                     blobs = []
                 now = part
                 blobs.append(blob)
         if blobs:
-            yield from merged(blobs)
+            yield from merged(blobs, shares[now // parts])
 
     return runs.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(run, SPAN)
 
@@ -321,7 +423,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, part
     own = rows.withColumns({"_doc": F.col(named["doc_id"]).cast("long"), "_th": F.xxhash64(named["text"])})
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // part_bytes))
-    runs = sorted_runs(own.select(F.col("_doc").alias("doc_id"), F.col("_th").alias("th"), F.col(named["text"]).alias("text")), parts, length, gram)
+    texts = own.select(F.col("_doc").alias("doc_id"), F.col("_th").alias("th"), F.col(named["text"]).alias("text"))
+    hot: list[np.ndarray] = []
+    while len(hot) < 2 and (more := hot_strings(texts, length, gram, hot)) is not None:
+        hot.append(more)
+    runs = sorted_runs(texts, parts, length, gram, hot)
     spans = repeated_spans(runs, parts, length, gram)
     spans = spans.groupBy(F.col("doc_id").alias("_d"), F.col("th").alias("_t")).agg(F.collect_list(F.struct("first", "past")).alias("_spans"))
     joined = own.join(spans, F.col("_doc").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_t")), "left").drop("_d", "_t", "_doc", "_th")
