@@ -14,7 +14,8 @@ window within both bounds is looked up among its group's windows by its bytes, s
 
 Equal suffixes with equal left sides are one entry, whose places are passed on as soon as there are two of them, so groups of
 copies stay small. What one task holds is an entry for each distinct context of its groups' strings. A string that is an anchor in
-more than `HOT` contexts (counted over the whole table by a partial aggregation, a context once for each run) is dealt more finely:
+more than `HOT` contexts (counted over the whole table by a partial aggregation, a context once for each run of RUN_BYTES,
+and not at all where the run has no other, so that one context for each run may go uncounted) is dealt more finely:
 its windows by ranges of `PIECES`-th of their places around the anchor, each range with the bytes that all its windows share, and
 where such a longer string is in more than HOT contexts as well, by whole windows, of which equal ones are one entry. Equal windows
 meet at every level. What is hot is sent to the tasks as a bitmap of fixed size; a false hit there deals a string more finely than needed.
@@ -249,6 +250,7 @@ def hot_strings(docs: DataFrame, length: int, gram: int, hot: list[np.ndarray])
     def counts(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         h, context = (np.concatenate(x) for x in zip(*found, strict=True))
         h, n = np.unique(h[np.unique(context, return_index=True)[1]], return_counts=True)
+        h, n = h[n > 1], n[n > 1]
         return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
 
     def find(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
