@@ -138,6 +138,50 @@ def gaps(bars: DataFrame) -> DataFrame:
     return emit(df, [("Breakaway gap up", "Gaps", 1, up & above & narrow & heavy, "ph"), ("Breakaway gap down", "Gaps", -1, down & below & narrow & heavy, "pl"), ("Runaway gap up", "Gaps", 1, up & (ret20 > 0.15) & no(above), "ph"), ("Runaway gap down", "Gaps", -1, down & (ret20 < -0.15) & no(below), "pl")])
 
 
+def exhaustion_gaps(bars: DataFrame, within: int = 5) -> DataFrame:
+    """Gaps after a run of 25% in 20 bars that a close fills within `within` bars: the first such close, once for each gap."""
+    df = with_atr(bars).withColumns({"pc": lag("close"), "ph": lag("high"), "pl": lag("low"), "r20": F.round(safe_div("close", lag("close", 20)) - 1, 8)})
+    big = F.round(F.abs(F.col("open") - F.col("pc")) - 0.5 * F.col("atr"), 8) >= 0
+    df = df.withColumns({"up": (F.col("low") > F.col("ph")) & big & (F.col("r20") > 0.25), "down": (F.col("high") < F.col("pl")) & big & (F.col("r20") < -0.25)})
+    rules: list[Rule] = []
+    for gap, edge, name, d in (("up", "ph", "Exhaustion gap (up, filled)", -1), ("down", "pl", "Exhaustion gap (down, filled)", 1)):
+        for k in range(1, within + 1):  # the gap was k bars ago
+            df = df.withColumn(f"{edge}{k}", F.when(lag(gap, k), lag(edge, k)))
+            filled = lambda close, e=f"{edge}{k}", d=d: (close < F.col(e)) if d < 0 else (close > F.col(e))
+            open_yet = [~filled(lag("close", j)) for j in range(1, k)]
+            rules.append((name, "Gaps", d, reduce(lambda a, b: a & b, open_yet, filled(F.col("close"))), F.round(f"{edge}{k}", 9)))
+    return emit(df, rules)
+
+
+def roundings(bars: DataFrame, widths: tuple[int, ...] = (60, 120, 250)) -> DataFrame:
+    """Closes that cross the left rim of a parabola fitted to the closes before: least squares by window sums, places counted from the middle.
+
+    A parabola explains 75% of the variance, has its vertex in the middle 40% of the window and is 10% deep; an event for each width.
+    """
+    c, rules = F.col, []
+    df = bars.withColumns({"pc": lag("close"), "ty": c("t") * c("close"), "tty": c("t") * c("t") * c("close"), "yy": c("close") * c("close")})
+    for w in widths:
+        s2 = w * (w * w - 1) / 12  # sums of the squared and fourth powers of places
+        s4 = s2 * (3 * w * w - 7) / 20
+        full = by_symbol().rowsBetween(-w, -1)
+        rim = by_symbol().rowsBetween(-w, -w + max(3, w // 10) - 1)
+        y, m = F.sum("close").over(full), c("t") - (w + 1) / 2
+        uy = F.sum("ty").over(full) - m * y
+        uuy = F.sum("tty").over(full) - 2 * m * F.sum("ty").over(full) + m * m * y
+        df = df.withColumns({"y": F.when(F.count("close").over(full) == w, y), "uy": uy, "uuy": uuy, "yys": F.sum("yy").over(full), "top": F.max("close").over(rim), "bottom": F.min("close").over(rim)})
+        df = df.withColumns({"a": F.round((c("uuy") - s2 * c("y") / w) / (s4 - s2 * s2 / w), 12), "b": c("uy") / s2})
+        df = df.withColumns({"vertex": F.when(c("a") != 0, -c("b") / (2 * c("a"))), "total": c("yys") - c("y") * c("y") / w, "rim": F.when(c("a") > 0, c("top")).otherwise(c("bottom"))})
+        low = c("y") / w - c("a") * s2 / w + c("b") * c("vertex") / 2
+        explained = (c("uy") * c("uy") / s2 + c("a") * (c("uuy") - s2 * c("y") / w)) / c("total")
+        place = F.round(c("vertex") + (w - 1) / 2, 6).between(0.3 * w, 0.7 * w)
+        fits = place & (c("total") > 1e-9) & (F.round(explained, 8) >= 0.75) & (F.round(F.abs(c("rim") - low) / F.abs(c("rim")), 8) >= 0.10)
+        df = df.withColumns({f"fits{w}": fits & (c("a") != 0), f"a{w}": c("a"), f"rim{w}": c("rim")})
+        up, level = c(f"a{w}") > 0, c(f"rim{w}")
+        rules.append(("Rounding bottom (saucer)", "Rounding", 1, c(f"fits{w}") & up & (c("close") > level) & (c("pc") <= level), f"rim{w}"))
+        rules.append(("Rounding top", "Rounding", -1, c(f"fits{w}") & ~up & (c("close") < level) & (c("pc") >= level), f"rim{w}"))
+    return emit(df, rules)
+
+
 def event_declines(bars: DataFrame) -> DataFrame:
     """A fall of 15% or more in two days that wasn't already one the day before."""
     df = bars.withColumn("d2", F.round(safe_div("close", lag("close", 2)) - 1, 8))
@@ -157,7 +201,7 @@ def islands(bars: DataFrame, most: int = 15) -> DataFrame:
 
 def all_events(bars: DataFrame) -> DataFrame:
     """The events of every bar pattern."""
-    found = [f(bars) for f in (new_highs, key_reversals, turtle_soup, wyckoff, contraction_breaks, volume_patterns, flat_bases, gaps, event_declines, islands)]
+    found = [f(bars) for f in (new_highs, key_reversals, turtle_soup, wyckoff, contraction_breaks, volume_patterns, flat_bases, gaps, exhaustion_gaps, roundings, event_declines, islands)]
     return reduce(DataFrame.unionByName, found)
 
 

@@ -231,6 +231,27 @@ def gaps_sql(src: str) -> str:
     return sql + events_sql("y", [("Breakaway gap up", "Gaps", 1, "low > ph AND big AND close > hi AND tight", "ph"), ("Breakaway gap down", "Gaps", -1, "high < pl AND big AND close < lo AND tight", "pl"), ("Runaway gap up", "Gaps", 1, "low > ph AND big AND r20 > 0.15 AND coalesce(NOT close > hi, true)", "ph"), ("Runaway gap down", "Gaps", -1, "high < pl AND big AND r20 < -0.15 AND coalesce(NOT close < lo, true)", "pl")])
 
 
+def exhaustion_sql(src: str) -> str:
+    atr, last = with_atr_sql(src)
+    sql = atr + f", x AS (SELECT *, {lag('close')} AS pc, {lag('high')} AS ph, {lag('low')} AS pl, {lag('close', 20)} AS c20 FROM {last}), y AS (SELECT *, round(abs(open - pc) - 0.5 * atr, 8) >= 0 AS big, round(({div('close', 'c20')}) - 1, 8) AS r20 FROM x), "
+    sql += "g AS (SELECT symbol, t, ph AS edge, -1 AS d FROM y WHERE low > ph AND big AND r20 > 0.25 UNION ALL SELECT symbol, t, pl, 1 FROM y WHERE high < pl AND big AND r20 < -0.25), "
+    sql += "f AS (SELECT g.symbol, y.date, y.t, g.d, g.edge FROM g JOIN y ON y.symbol = g.symbol AND y.t BETWEEN g.t + 1 AND g.t + 5 AND (y.close - g.edge) * g.d > 0 QUALIFY row_number() OVER (PARTITION BY g.symbol, g.t, g.d ORDER BY y.t) = 1) "
+    return sql + "SELECT symbol, date, t, CASE WHEN d < 0 THEN 'Exhaustion gap (up, filled)' ELSE 'Exhaustion gap (down, filled)' END AS pattern, 'Gaps' AS family, d AS dir, floor(round(edge, 9) * 1e6 + 0.5) / 1e6 AS level FROM f"
+
+
+def rounding_sql(src: str) -> str:
+    """The fits by regressions: the closes' slope over places, and that over squared places, which the middle makes independent."""
+    parts = []
+    for w in (60, 120, 250):
+        full, rim = f"({S} ROWS BETWEEN {w} PRECEDING AND 1 PRECEDING)", f"({S} ROWS BETWEEN {w} PRECEDING AND {w - max(3, w // 10) + 1} PRECEDING)"
+        parts.append(f"SELECT symbol, date, t, close, {lag('close')} AS pc, {w} AS w, count(close) OVER {full} AS k, list(close) OVER {full} AS ys, max(close) OVER {rim} AS top, min(close) OVER {rim} AS bottom FROM {src}")
+    sql = ", rx AS (SELECT * FROM (" + " UNION ALL ".join(parts) + ") WHERE k = w AND ((close > top AND pc <= top) OR (close < bottom AND pc >= bottom))), "
+    sql += "rp AS (SELECT symbol, date, t, close, pc, w, top, bottom, unnest(ys) AS y, generate_subscripts(ys, 1) - 1 - (w - 1) / 2.0 AS u FROM rx), "
+    sql += "rq AS (SELECT symbol, date, t, w, any_value(close) AS close, any_value(pc) AS pc, any_value(top) AS top, any_value(bottom) AS bottom, regr_slope(y, u) AS b, regr_slope(y, u * u) AS a, regr_intercept(y, u * u) AS c0, regr_r2(y, u) + regr_r2(y, u * u) AS r2 FROM rp GROUP BY symbol, date, t, w), "
+    sql += "rv AS (SELECT *, CASE WHEN a > 0 THEN top ELSE bottom END AS rim, -b / (2 * a) AS uv FROM rq WHERE round(a, 12) <> 0), rz AS (SELECT *, c0 + b * uv / 2 AS low FROM rv WHERE round(uv + (w - 1) / 2.0, 6) BETWEEN 0.3 * w AND 0.7 * w AND round(r2, 8) >= 0.75) "
+    return sql + "SELECT symbol, date, t, CASE WHEN a > 0 THEN 'Rounding bottom (saucer)' ELSE 'Rounding top' END AS pattern, 'Rounding' AS family, CASE WHEN a > 0 THEN 1 ELSE -1 END AS dir, round(rim, 6) AS level FROM rz WHERE round(abs(rim - low) / abs(rim), 8) >= 0.10 AND ((a > 0 AND close > rim AND pc <= rim) OR (a < 0 AND close < rim AND pc >= rim))"
+
+
 def islands_sql(src: str) -> str:
     frame = lambda k: f"({S} ROWS BETWEEN {k} PRECEDING AND 1 PRECEDING)"
     kinds = ", ".join(f"CASE WHEN max(high) OVER {frame(k)} < {lag('low', k + 1)} AND max(high) OVER {frame(k)} < low THEN 1 WHEN min(low) OVER {frame(k)} > {lag('high', k + 1)} AND min(low) OVER {frame(k)} > high THEN -1 END" for k in range(1, 16))
@@ -243,9 +264,11 @@ def noisy(spark, sf) -> DataFrame:
 
 _t0 = DAILY + f", b0 AS (SELECT *, row_number() OVER ({S}) - 1 AS t FROM b)"
 query("pat_gaps", _t0 + gaps_sql("b0"), bars=False)(lambda spark, sf: P.gaps(noisy(spark, sf)))
+query("pat_exhaustion_gaps", exhaustion_sql("b"))(lambda spark, sf: P.exhaustion_gaps(B.walk(spark, sf)))
+query("pat_roundings", rounding_sql("b"))(lambda spark, sf: P.roundings(B.walk(spark, sf)))
 query("pat_islands", _t0 + islands_sql("b0"), bars=False)(lambda spark, sf: P.islands(noisy(spark, sf)))
 #: The SQL of every bar pattern, each with its own tables over b.
-EVENTS = ", ev AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT * FROM (WITH RECURSIVE {q.removeprefix(', ')})" for q in (PATTERN_SQL["pat_new_highs"], PATTERN_SQL["pat_key_reversal"], PATTERN_SQL["pat_turtle_soup"], WY, _nr, VO, PATTERN_SQL["pat_flat_base"], gaps_sql("b"), PATTERN_SQL["pat_event_decline"], islands_sql("b"))) + "), n AS (SELECT symbol, max(t) AS n FROM b GROUP BY 1)"
+EVENTS = ", ev AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT * FROM (WITH RECURSIVE {q.removeprefix(', ')})" for q in (PATTERN_SQL["pat_new_highs"], PATTERN_SQL["pat_key_reversal"], PATTERN_SQL["pat_turtle_soup"], WY, _nr, VO, PATTERN_SQL["pat_flat_base"], gaps_sql("b"), exhaustion_sql("b"), rounding_sql("b"), PATTERN_SQL["pat_event_decline"], islands_sql("b"))) + "), n AS (SELECT symbol, max(t) AS n FROM b GROUP BY 1)"
 
 
 def some_events(spark, sf) -> DataFrame:
