@@ -11,12 +11,14 @@ from tickloom.functions.exprs import by_symbol, crosses_down, crosses_up, ordina
 from tickloom.operators import actions as A
 from tickloom.operators import crosssection as X
 from tickloom.operators import patterns as P
+from tickloom.operators import charts
 from tickloom.operators import scans as K
 from tickloom.operators.tables import derive_sql
 from tickloom.plans import decide as D
 from tickloom.plans import ledger as L
 from tickloom.functions.sqltext import S, dist, div, flag, lag, prev, r, roll
 from tickloom.plans.registry import DAILY, TR, cols, query
+from tickloom.plans.registry5 import PIPES_SQL
 from tickloom.sources import bars as B
 from tickloom.sources import files as Fi
 
@@ -268,11 +270,12 @@ query("pat_exhaustion_gaps", exhaustion_sql("b"))(lambda spark, sf: P.exhaustion
 query("pat_roundings", rounding_sql("b"))(lambda spark, sf: P.roundings(B.walk(spark, sf)))
 query("pat_islands", _t0 + islands_sql("b0"), bars=False)(lambda spark, sf: P.islands(noisy(spark, sf)))
 #: The SQL of every bar pattern, each with its own tables over b.
-EVENTS = ", ev AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT * FROM (WITH RECURSIVE {q.removeprefix(', ')})" for q in (PATTERN_SQL["pat_new_highs"], PATTERN_SQL["pat_key_reversal"], PATTERN_SQL["pat_turtle_soup"], WY, _nr, VO, PATTERN_SQL["pat_flat_base"], gaps_sql("b"), exhaustion_sql("b"), rounding_sql("b"), PATTERN_SQL["pat_event_decline"], islands_sql("b"))) + "), n AS (SELECT symbol, max(t) AS n FROM b GROUP BY 1)"
+EVENTS = ", ev AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT * FROM (WITH RECURSIVE {q.removeprefix(', ')})" for q in (PATTERN_SQL["pat_new_highs"], PATTERN_SQL["pat_key_reversal"], PATTERN_SQL["pat_turtle_soup"], WY, _nr, VO, PATTERN_SQL["pat_flat_base"], gaps_sql("b"), exhaustion_sql("b"), rounding_sql("b"), PATTERN_SQL["pat_event_decline"], islands_sql("b"), PIPES_SQL)) + "), n AS (SELECT symbol, max(t) AS n FROM b GROUP BY 1)"
 
 
 def some_events(spark, sf) -> DataFrame:
-    return P.all_events(B.walk(spark, sf))
+    b = B.walk(spark, sf)
+    return P.all_events(b).unionByName(charts.pipes_and_horns(b))
 
 
 query("u2_event_union", EVENTS + " SELECT symbol, date, pattern, dir FROM ev")(lambda spark, sf: some_events(spark, sf).select("symbol", "date", "pattern", "dir"))
