@@ -157,10 +157,10 @@ def prefix_sums(raw: np.ndarray) -> np.ndarray:
     return s
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words (runs without SPACE) of lower-cased texts, in order, and where each text's words begin (one more at the end)."""
+def word_hashes(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words (runs without SPACE) of texts, lower-cased unless told not to, in order, and where each text's words begin (one more at the end)."""
     joined = b" ".join(texts) + b" "
-    raw = np.frombuffer(joined.translate(LOWER), np.uint8)
+    raw = np.frombuffer(joined.translate(LOWER) if lower else joined, np.uint8)
     blank = SPACE[raw]
     edge = np.flatnonzero(np.diff(np.concatenate(([True], blank)).view(np.int8)))
     starts, ends = edge[::2], edge[1::2]
