@@ -5,7 +5,7 @@ import datetime
 import duckdb
 import pytest
 
-from tickloom.plans import registry, registry2, registry3, registry4, registry5  # noqa: F401
+from tickloom.plans import registry, registry2, registry3, registry4, registry5, registry6  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 
@@ -34,7 +34,11 @@ def test_equals_sql(spark, con, name):
     assert got == rows(names, cur.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLE_SQL)))
+#: Queries of events: test_charts.py holds them against walks over the bars.
+EVENT_QUERIES = {"g_chart_patterns"}
+
+
+@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLE_SQL) - EVENT_QUERIES))
 def test_covers_every_bar(spark, name):
     df = registry.QUERIES[name](spark, SF)
     assert df.columns[:2] == ["symbol", "date"]

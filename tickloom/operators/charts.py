@@ -27,6 +27,11 @@ SCALES = {"minor": (1.5, 8, 150, 15), "intermediate": (3.0, 15, 300, 25), "major
 POINTS, BLOCK = 6, 64
 
 
+def threshold(k: float, a: np.ndarray) -> np.ndarray:
+    """k mean true ranges, less what the order of a sum leaves, so that a range of just as much turns in every engine."""
+    return np.round(k * a, 6) - 1e-7
+
+
 def turn(best: float, up: np.ndarray, back: np.ndarray, threshold: np.ndarray) -> tuple[int, np.ndarray]:
     """Of the bars after an extreme: the first that comes back by the threshold and is no new extreme (their number if none), new extremes."""
     n, size = len(up), 64
@@ -94,7 +99,7 @@ def tips(bars: DataFrame) -> DataFrame:
         high, low, a = (pdf[c].to_numpy(float) for c in ("high", "low", "a"))
         rows = []
         for scale, (k, *_) in SCALES.items():
-            for place, (side, first, last, at) in enumerate(known_points(high, low, k * a)):
+            for place, (side, first, last, at) in enumerate(known_points(high, low, threshold(k, a))):
                 kinds = [side * (-1) ** j for j in range(len(at))]
                 prices = [-side * float(high[x] if kind > 0 else low[x]) for x, kind in zip(at, kinds, strict=True)]
                 rows.append((pdf["symbol"].iat[0], scale, place, side, first, last, at, prices, a[at].tolist()))

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.functions.exprs import by_symbol, lag, rolling, safe_div
+from tickloom.functions.exprs import by_symbol, lag, r6, rolling, safe_div
 from tickloom.operators import indicators
 from tickloom.operators.tables import Column as Derived
 from tickloom.operators.tables import derive, rma
@@ -20,7 +20,7 @@ EVENT = ["symbol", "date", "t", "pattern", "family", "dir", "level"]
 def emit(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """The events of all rules, by one pass: an array of the rules that hold, exploded."""
     df = df.withColumns({f"_hit{i}": cond for i, (_, _, _, cond, _) in enumerate(rules)})  # windows come before the generator
-    hits = [F.when(F.col(f"_hit{i}"), F.struct(F.lit(name).alias("pattern"), F.lit(family).alias("family"), F.lit(d).alias("dir"), F.round(F.col(level) if isinstance(level, str) else level, 6).alias("level"))) for i, (name, family, d, _, level) in enumerate(rules)]
+    hits = [F.when(F.col(f"_hit{i}"), F.struct(F.lit(name).alias("pattern"), F.lit(family).alias("family"), F.lit(d).alias("dir"), r6(level).alias("level"))) for i, (name, family, d, _, level) in enumerate(rules)]
     e = F.explode(F.filter(F.array(*hits), lambda x: x.isNotNull()))
     return df.select("symbol", "date", "t", e.alias("e")).select("symbol", "date", "t", "e.*")
 

@@ -179,7 +179,7 @@ def ma_cross(bars: DataFrame) -> DataFrame:
 
 
 def events_sql(src: str, rules: list[tuple[str, str, int, str, str]]) -> str:
-    return " UNION ALL ".join(f"SELECT symbol, date, t, '{n}' AS pattern, '{f}' AS family, {d} AS dir, round({lv}, 6) AS level FROM {src} WHERE {c}" for n, f, d, c, lv in rules)
+    return " UNION ALL ".join(f"SELECT symbol, date, t, '{n}' AS pattern, '{f}' AS family, {d} AS dir, {r(lv)} AS level FROM {src} WHERE {c}" for n, f, d, c, lv in rules)
 
 
 up_, dn_ = (lambda x, lv=0: f"{x} > {lv} AND p_{x} <= {lv}"), (lambda x, lv=0: f"{x} < {lv} AND p_{x} >= {lv}")
@@ -207,7 +207,7 @@ PATTERN_SQL["pat_event_decline"] = ED + events_sql("y", [("Event decline (>=15%
 query("pat_event_decline", PATTERN_SQL["pat_event_decline"])(lambda spark, sf: P.event_declines(B.walk(spark, sf)))
 _nr = ", x AS (SELECT *, round(high - low, 2) AS rng FROM b), y AS (SELECT *, rng <= (" + roll("min", "rng", 7) + f") AS nr, high <= {lag('high')} AND low >= {lag('low')} AS ins FROM x), "
 _nr += "e AS (SELECT a.symbol, c.date, c.t, a.t AS bt, kind, d, CASE WHEN d > 0 THEN a.high ELSE a.low END AS level FROM (SELECT *, unnest(['NR7', 'Inside day']) AS kind FROM y) a JOIN b c ON c.symbol = a.symbol AND c.t BETWEEN a.t + 1 AND a.t + 3, (VALUES (1), (-1)) v(d) WHERE (CASE WHEN kind = 'NR7' THEN a.nr ELSE a.ins END) AND (c.close - CASE WHEN d > 0 THEN a.high ELSE a.low END) * d > 0), "
-_nr += "f AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY symbol, bt, kind, d ORDER BY t) = 1) SELECT symbol, date, t, kind || ' breakout ' || CASE WHEN d > 0 THEN 'up' ELSE 'down' END AS pattern, 'Range contraction' AS family, d AS dir, round(arg_max(level, bt), 6) AS level FROM f GROUP BY symbol, date, t, kind, d"
+_nr += "f AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY symbol, bt, kind, d ORDER BY t) = 1) SELECT symbol, date, t, kind || ' breakout ' || CASE WHEN d > 0 THEN 'up' ELSE 'down' END AS pattern, 'Range contraction' AS family, d AS dir, floor(round(arg_max(level, bt), 9) * 1e6 + 0.5) / 1e6 AS level FROM f GROUP BY symbol, date, t, kind, d"
 query("pat_nr7_inside", _nr)(lambda spark, sf: P.contraction_breaks(B.walk(spark, sf)))
 
 
@@ -251,7 +251,7 @@ def rounding_sql(src: str) -> str:
     sql += "rp AS (SELECT symbol, date, t, close, pc, w, top, bottom, unnest(ys) AS y, generate_subscripts(ys, 1) - 1 - (w - 1) / 2.0 AS u FROM rx), "
     sql += "rq AS (SELECT symbol, date, t, w, any_value(close) AS close, any_value(pc) AS pc, any_value(top) AS top, any_value(bottom) AS bottom, regr_slope(y, u) AS b, regr_slope(y, u * u) AS a, regr_intercept(y, u * u) AS c0, regr_r2(y, u) + regr_r2(y, u * u) AS r2 FROM rp GROUP BY symbol, date, t, w), "
     sql += "rv AS (SELECT *, CASE WHEN a > 0 THEN top ELSE bottom END AS rim, -b / (2 * a) AS uv FROM rq WHERE round(a, 12) <> 0), rz AS (SELECT *, c0 + b * uv / 2 AS low FROM rv WHERE round(uv + (w - 1) / 2.0, 6) BETWEEN 0.3 * w AND 0.7 * w AND round(r2, 8) >= 0.75) "
-    return sql + "SELECT symbol, date, t, CASE WHEN a > 0 THEN 'Rounding bottom (saucer)' ELSE 'Rounding top' END AS pattern, 'Rounding' AS family, CASE WHEN a > 0 THEN 1 ELSE -1 END AS dir, round(rim, 6) AS level FROM rz WHERE round(abs(rim - low) / abs(rim), 8) >= 0.10 AND ((a > 0 AND close > rim AND pc <= rim) OR (a < 0 AND close < rim AND pc >= rim))"
+    return sql + "SELECT symbol, date, t, CASE WHEN a > 0 THEN 'Rounding bottom (saucer)' ELSE 'Rounding top' END AS pattern, 'Rounding' AS family, CASE WHEN a > 0 THEN 1 ELSE -1 END AS dir, floor(round(rim, 9) * 1e6 + 0.5) / 1e6 AS level FROM rz WHERE round(abs(rim - low) / abs(rim), 8) >= 0.10 AND ((a > 0 AND close > rim AND pc <= rim) OR (a < 0 AND close < rim AND pc >= rim))"
 
 
 def islands_sql(src: str) -> str:
