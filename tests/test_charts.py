@@ -49,9 +49,9 @@ def test_known_points(seed):
         side, x, points = now[t - 1]
         if side and x > points[-1]:
             want.add((t, (x, *points[:-6:-1])))
-    got = [(t, tuple(at)) for _, first, last, at in charts.known_points(high, low, threshold) for t in range(first, last + 1)]
+    got = [(t, tuple(at)) for _, first, last, at, _ in charts.known_points(high, low, threshold) for t in range(first, last + 1)]
     assert set(got) == want  # at the bar that confirms an extreme both stretches hold it
-    for side, _, _, at in charts.known_points(high, low, threshold):
+    for side, _, _, at, _ in charts.known_points(high, low, threshold):
         assert all((high[a] > low[b]) if side * (-1) ** j > 0 else (low[a] < high[b]) for j, (a, b) in enumerate(zip(at, at[1:], strict=False)))
 
 
