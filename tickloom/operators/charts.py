@@ -14,11 +14,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.functions.exprs import by_symbol, r6, rolling
+from tickloom.functions.exprs import by_symbol, rolling
 from tickloom.operators import indicators
 from tickloom.operators.patterns import emit
 from tickloom.operators.tables import derive, rma
@@ -98,7 +98,7 @@ def tips(bars: DataFrame) -> DataFrame:
     means = {f"m{n}": F.round(rolling("mean", "close", n), 8) for n in (50, 150, 200)}
     df = derive(bars, columns, ["atr", "atr50"]).withColumns(means)
     stacked = F.coalesce((F.col("close") > F.col("m50")) & (F.col("m50") > F.col("m150")) & (F.col("m150") > F.col("m200")), F.lit(False))
-    df = df.select("symbol", "t", "high", "low", F.coalesce("atr50", "atr").alias("a"), F.col("atr").alias("b"), stacked.alias("stacked"))
+    df = df.select("symbol", "t", "high", "low", F.coalesce("atr50", "atr").alias("a"), F.round("atr", 8).alias("b"), stacked.alias("stacked"))
     schema = T.StructType([df.schema["symbol"], T.StructField("scale", T.StringType()), *(T.StructField(c, T.LongType()) for c in ("place", "side", "first", "last")), *(T.StructField(c, T.BooleanType()) for c in ("running", "stacked"))])
     schema = T.StructType([*schema, T.StructField("i", T.ArrayType(T.LongType())), *(T.StructField(c, T.ArrayType(T.DoubleType())) for c in "pab")])
 
@@ -236,7 +236,7 @@ FOUR_POINTS = ("Rectangle", "Ascending triangle", "Descending triangle", "Symmet
 def fitted(points: list[int]) -> tuple[str, str, str]:
     """Level at bar 0, slope and largest error of the least squares line through points."""
     n = len(points)
-    x, y = (f"({' + '.join(f'{c}{j}' for j in points)}) / {n}.0" for c in "ip")
+    x, y = (f"({' + '.join(f'{c}{j}' for j in points)}) / CAST({n} AS double)" for c in "ip")
     top, bottom = (" + ".join(f"(i{j} - {x}) * ({c}{j} - {m})" for j in points) for c, m in (("p", y), ("i", x)))
     slope = f"(({top}) / nullif({bottom}, 0))"
     return f"{y} - {slope} * ({x})", slope, "greatest(" + ", ".join(f"abs(p{j} - {y} - {slope} * (i{j} - {x}))" for j in points) + ")"
@@ -325,6 +325,11 @@ def counted(c: DataFrame, price: DataFrame) -> DataFrame:
     return c.withColumn("best", best).filter("until >= first AND (rank IS NULL OR rank = best)")
 
 
+def tie_up(x: Column) -> Column:
+    """Rounded half up to six decimals; what lies a tenth of a billionth below a tie is one, as lines leave that much noise."""
+    return F.floor(F.round(x, 9) * 1e6 + 0.5001) / 1e6
+
+
 def chart_patterns(bars: DataFrame) -> DataFrame:
     """Events (symbol, date, t, pattern, family, dir, level) with scale, target, stop, start and variant; a name and start once in a scale."""
     price = bars.select("symbol", "date", "t", "close", "high", "low", F.lag("close").over(by_symbol()).alias("before"), F.floor(F.col("t") / BLOCK).alias("block"))
@@ -338,7 +343,10 @@ def chart_patterns(bars: DataFrame) -> DataFrame:
     event = F.struct("t", "date", (F.col("_line") * F.col("up")).alias("level"), (F.col("target") * F.col("up")).alias("target"), (F.col("stop") * F.col("up")).alias("stop"), "family", "variant", (F.col("up") * F.col("way")).alias("dir"))
     crossed = met.groupBy("symbol", "scale", "pattern", "start", "place", "template").agg(F.min(event).alias("e"))
     kept = crossed.groupBy("symbol", "scale", "pattern", "start").agg(F.min_by("e", F.struct("place", "template")).alias("e"))
-    return kept.select("symbol", "e.date", "e.t", "pattern", "e.family", F.col("e.dir").cast("int").alias("dir"), *[r6(f"e.{x}").alias(x) for x in ("level", "target", "stop")], "scale", "start", "e.variant")
+    return kept.select("symbol", "e.date", "e.t", "pattern", "e.family", F.col("e.dir").cast("int").alias("dir"), *[tie_up(F.col(f"e.{x}")).alias(x) for x in ("level", "target", "stop")], "scale", "start", "e.variant")
+
+
+WEEKLY = ("Pipe bottom (weekly)", "Pipe top (weekly)", "Horn bottom (weekly)", "Horn top (weekly)")
 
 
 def weeks(bars: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,12 +18,30 @@ Rule = tuple[str, str, int, Column, Column | str]
 EVENT = ["symbol", "date", "t", "pattern", "family", "dir", "level"]
 
 
+def hits(df: DataFrame, rules: list[Rule], kept: list[str]) -> DataFrame:
+    """Columns of df and `e`, an array of what the rules that hold say of a bar."""
+    df = df.withColumns({f"_hit{i}": cond for i, (_, _, _, cond, _) in enumerate(rules)})
+    said = [F.when(F.col(f"_hit{i}"), F.struct(F.lit(name).alias("pattern"), F.lit(family).alias("family"), F.lit(d).alias("dir"), r6(level).alias("level"))) for i, (name, family, d, _, level) in enumerate(rules)]
+    return df.select(*kept, F.filter(F.array(*said), lambda x: x.isNotNull()).alias("e"))
+
+
 def emit(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """The events of all rules, by one pass: an array of the rules that hold, exploded."""
-    df = df.withColumns({f"_hit{i}": cond for i, (_, _, _, cond, _) in enumerate(rules)})  # windows come before the generator
-    hits = [F.when(F.col(f"_hit{i}"), F.struct(F.lit(name).alias("pattern"), F.lit(family).alias("family"), F.lit(d).alias("dir"), r6(level).alias("level"))) for i, (name, family, d, _, level) in enumerate(rules)]
-    e = F.explode(F.filter(F.array(*hits), lambda x: x.isNotNull()))
-    return df.select("symbol", "date", "t", e.alias("e")).select("symbol", "date", "t", "e.*")
+    return hits(df, rules, ["symbol", "date", "t"]).withColumn("e", F.explode("e")).select("symbol", "date", "t", "e.*")
+
+
+class Pattern:
+    """Rules over bars: called, they give their events; `rules` are the bars with the columns that the rules read, and the rules."""
+
+    def __init__(self, names: tuple[str, ...], rules: Callable[..., tuple[DataFrame, list[Rule]]]):
+        self.names, self.rules, self.__doc__ = names, rules, rules.__doc__
+
+    def __call__(self, bars: DataFrame, **how) -> DataFrame:
+        return emit(*self.rules(bars, **how))
+
+
+def pattern(*names: str) -> Callable[[Callable], Pattern]:
+    return lambda rules: Pattern(names, rules)
 
 
 #: Mean true range of 14 bars, Wilder's.
@@ -30,7 +49,7 @@ ATR: dict[str, Derived] = {"tr": indicators.COLUMNS["tr"], "atr": rma("tr", 14)}
 
 
 def with_atr(bars: DataFrame) -> DataFrame:
-    return derive(bars, ATR, ["atr"])
+    return bars if "atr" in bars.columns else derive(bars, ATR, ["atr"])
 
 
 def before(how: str, x: str, n: int, least: int | None = None) -> Column:
@@ -40,51 +59,57 @@ def before(how: str, x: str, n: int, least: int | None = None) -> Column:
     return F.when(F.count(x).over(w) >= (least or n), f(x).over(w))
 
 
-def new_highs(bars: DataFrame) -> DataFrame:
+@pattern("52-week high breakout", "52-week low breakdown", "Multi-year high breakout (since 2016)")
+def new_highs(bars: DataFrame) -> tuple[DataFrame, list[Rule]]:
     """Breaks of the 52-week and all-time extremes that no bar of the last 20 had."""
     df = bars.withColumns({"hi": before("max", "high", 252, 200), "lo": before("min", "low", 252, 200), "ath": F.max("high").over(by_symbol().rowsBetween(Window.unboundedPreceding, -1))})
     df = df.withColumns({"bh": F.coalesce(F.col("close") > F.col("hi"), F.lit(False)), "bl": F.coalesce(F.col("close") < F.col("lo"), F.lit(False)), "ba": F.coalesce(F.col("close") > F.col("ath"), F.lit(False))})
     w = by_symbol().rowsBetween(-20, -1)
     first = lambda c: F.col(c) & ~(F.coalesce(F.max(c).over(w), F.lit(False)) & (F.count(c).over(w) >= 20))
     df = df.withColumns({"fh": first("bh"), "fl": first("bl"), "fa": first("ba")})
-    return emit(df, [("52-week high breakout", "New highs / lows", 1, F.col("fh"), "hi"), ("52-week low breakdown", "New highs / lows", -1, F.col("fl"), "lo"), ("Multi-year high breakout (since 2016)", "New highs / lows", 1, F.col("fa") & (F.col("t") >= 500), "ath")])
+    return df, [("52-week high breakout", "New highs / lows", 1, F.col("fh"), "hi"), ("52-week low breakdown", "New highs / lows", -1, F.col("fl"), "lo"), ("Multi-year high breakout (since 2016)", "New highs / lows", 1, F.col("fa") & (F.col("t") >= 500), "ath")]
 
 
-def key_reversals(bars: DataFrame) -> DataFrame:
+@pattern("Key reversal day (bullish)", "Key reversal day (bearish)")
+def key_reversals(bars: DataFrame) -> tuple[DataFrame, list[Rule]]:
     df = bars.withColumns({"ll": before("min", "low", 20), "hh": before("max", "high", 20), "pc": lag("close"), "ph": lag("high"), "pl": lag("low")})
     c = F.col
-    return emit(df, [("Key reversal day (bullish)", "Reversal bars", 1, (c("low") < c("ll")) & (c("close") > c("pc")) & (c("high") > c("ph")), "close"), ("Key reversal day (bearish)", "Reversal bars", -1, (c("high") > c("hh")) & (c("close") < c("pc")) & (c("low") < c("pl")), "close")])
+    return df, [("Key reversal day (bullish)", "Reversal bars", 1, (c("low") < c("ll")) & (c("close") > c("pc")) & (c("high") > c("ph")), "close"), ("Key reversal day (bearish)", "Reversal bars", -1, (c("high") > c("hh")) & (c("close") < c("pc")) & (c("low") < c("pl")), "close")]
 
 
-def turtle_soup(bars: DataFrame) -> DataFrame:
+@pattern("2B bottom / Turtle soup", "2B top / Turtle soup")
+def turtle_soup(bars: DataFrame) -> tuple[DataFrame, list[Rule]]:
     """A false break of a 20-bar extreme that is at least three bars old, within two bars; only its first bar."""
 
-    def extreme(x: str, how: str) -> tuple[Column, Column]:
-        full = F.collect_list(x).over(by_symbol().rowsBetween(-20, -1))
-        pick = F.array_min(full) if how == "min" else F.array_max(full)
-        return F.when(F.size(full) == 20, pick), F.when(F.size(full) == 20, 20 - F.array_position(full, pick))
+    def extreme(x: str, sign: int) -> tuple[Column, Column]:
+        w = by_symbol().rowsBetween(-20, -1)
+        first = F.min(F.struct((sign * F.col(x)).alias("x"), F.col("t").alias("t"))).over(w)  # of equal ones the oldest
+        full = F.count(x).over(w) == 20
+        return F.when(full, sign * first["x"]), F.when(full, F.col("t") - 1 - first["t"])
 
-    (ll, la), (hh, ha) = extreme("low", "min"), extreme("high", "max")
+    (ll, la), (hh, ha) = extreme("low", 1), extreme("high", -1)
     df = bars.withColumns({"ll": ll, "la": la, "hh": hh, "ha": ha})
     down = [(lag("low", k) < lag("ll", k)) & (F.col("close") > lag("ll", k)) & (lag("la", k) >= 3) for k in range(3)]
     up = [(lag("high", k) > lag("hh", k)) & (F.col("close") < lag("hh", k)) & (lag("ha", k) >= 3) for k in range(3)]
     any_of = lambda cs: reduce(lambda a, b: a | b, [F.coalesce(x, F.lit(False)) for x in cs])
     df = df.withColumns({"bull": any_of(down), "bear": any_of(up)})
     first = lambda x: F.col(x) & ~F.coalesce(lag(x), F.lit(False))
-    return emit(df, [("2B bottom / Turtle soup", "False breakout", 1, first("bull"), "ll"), ("2B top / Turtle soup", "False breakout", -1, first("bear"), "hh")])
+    return df, [("2B bottom / Turtle soup", "False breakout", 1, first("bull"), "ll"), ("2B top / Turtle soup", "False breakout", -1, first("bear"), "hh")]
 
 
-def wyckoff(bars: DataFrame) -> DataFrame:
+@pattern("Wyckoff spring", "Wyckoff upthrust")
+def wyckoff(bars: DataFrame) -> tuple[DataFrame, list[Rule]]:
     """False breaks of a narrow 40-bar range."""
-    df = with_atr(bars).withColumns({"hi": before("max", "high", 40), "lo": before("min", "low", 40), "atr": F.round("atr", 8)})
+    df = with_atr(bars).withColumns({"hi": before("max", "high", 40), "lo": before("min", "low", 40), "atr8": F.round("atr", 8)})
     c = F.col
     narrow = F.round(safe_div(c("hi") - c("lo"), "close"), 8) < 0.20
-    spring = narrow & (c("low") < c("lo")) & (c("low") > F.round(c("lo") - 1.5 * c("atr"), 8)) & (c("close") > c("lo"))
-    thrust = narrow & (c("high") > c("hi")) & (c("high") < F.round(c("hi") + 1.5 * c("atr"), 8)) & (c("close") < c("hi"))
-    return emit(df, [("Wyckoff spring", "Wyckoff", 1, spring, "lo"), ("Wyckoff upthrust", "Wyckoff", -1, thrust, "hi")])
+    spring = narrow & (c("low") < c("lo")) & (c("low") > F.round(c("lo") - 1.5 * c("atr8"), 8)) & (c("close") > c("lo"))
+    thrust = narrow & (c("high") > c("hi")) & (c("high") < F.round(c("hi") + 1.5 * c("atr8"), 8)) & (c("close") < c("hi"))
+    return df, [("Wyckoff spring", "Wyckoff", 1, spring, "lo"), ("Wyckoff upthrust", "Wyckoff", -1, thrust, "hi")]
 
 
-def contraction_breaks(bars: DataFrame) -> DataFrame:
+@pattern("NR7 breakout up", "NR7 breakout down", "Inside day breakout up", "Inside day breakout down")
+def contraction_breaks(bars: DataFrame) -> tuple[DataFrame, list[Rule]]:
     """First close beyond a narrow-range or inside bar within three bars; of several such bars the latest sets the level."""
     df = bars.withColumn("rng", F.round(F.col("high") - F.col("low"), 2))
     df = df.withColumns({"NR7": F.col("rng") <= rolling("min", "rng", 7), "Inside day": (F.col("high") <= lag("high")) & (F.col("low") >= lag("low"))})
@@ -100,10 +125,11 @@ def contraction_breaks(bars: DataFrame) -> DataFrame:
             name = f"_{kind}{d}"
             df = df.withColumn(name, level)
             rules.append((f"{kind} breakout {'up' if d > 0 else 'down'}", "Range contraction", d, F.col(name).isNotNull(), name))
-    return emit(df, rules)
+    return df, rules
 
 
-def volume_patterns(bars: DataFrame) -> DataFrame:
+@pattern("Pocket pivot", "Selling climax (reversal)", "Buying climax (reversal)")
+def volume_patterns(bars: DataFrame) -> tuple[DataFrame, list[Rule]]:
     """Pocket pivots, and selling and buying climaxes."""
     c = F.col
     df = with_atr(bars).withColumns({"pc": lag("close"), "sma50": F.round(rolling("mean", "close", 50), 8), "sma200": F.round(rolling("mean", "close", 200), 8), "v50": rolling("mean", "volume", 50), "ll": before("min", "low", 20), "hh": before("max", "high", 20), "c10": lag("close", 10)})
@@ -112,10 +138,11 @@ def volume_patterns(bars: DataFrame) -> DataFrame:
     wide, middle = F.round(c("rng") - 2 * c("atr"), 8) > 0, F.round((c("high") + c("low")) / 2, 8)
     sell = (c("volx") >= 3) & wide & (c("low") <= c("ll")) & (c("close") > middle) & (c("ret10") < -0.10)
     buy = (c("volx") >= 3) & wide & (c("high") >= c("hh")) & (c("close") < middle) & (c("ret10") > 0.10)
-    return emit(df, [("Pocket pivot", "Volume patterns", 1, pivot, "close"), ("Selling climax (reversal)", "Volume patterns", 1, sell, "close"), ("Buying climax (reversal)", "Volume patterns", -1, buy, "close")])
+    return df, [("Pocket pivot", "Volume patterns", 1, pivot, "close"), ("Selling climax (reversal)", "Volume patterns", 1, sell, "close"), ("Buying climax (reversal)", "Volume patterns", -1, buy, "close")]
 
 
-def flat_bases(bars: DataFrame) -> DataFrame:
+@pattern("Flat base breakout (25d)", "Flat base breakout (40d)", "Flat base breakout (60d)")
+def flat_bases(bars: DataFrame) -> tuple[DataFrame, list[Rule]]:
     """First close above a base of 25, 40 or 60 bars with a range of 15% at most after a rise of 20%."""
     rules: list[Rule] = []
     df = bars.withColumns({"pc": lag("close"), "r60": F.round(safe_div("close", lag("close", 60)) - 1, 8)})
@@ -123,10 +150,11 @@ def flat_bases(bars: DataFrame) -> DataFrame:
         df = df.withColumns({f"bh{w}": before("max", "high", w), f"bl{w}": before("min", "low", w), f"pr{w}": lag("r60", w)})
         cond = (F.round(safe_div(f"bh{w}", f"bl{w}") - 1, 8) <= 0.15) & (F.col("close") > F.col(f"bh{w}")) & (F.col("pc") <= F.col(f"bh{w}")) & (F.col(f"pr{w}") >= 0.20)
         rules.append((f"Flat base breakout ({w}d)", "IBD bases", 1, cond, f"bh{w}"))
-    return emit(df, rules)
+    return df, rules
 
 
-def gaps(bars: DataFrame) -> DataFrame:
+@pattern("Breakaway gap up", "Breakaway gap down", "Runaway gap up", "Runaway gap down")
+def gaps(bars: DataFrame) -> tuple[DataFrame, list[Rule]]:
     """Breakaway and runaway gaps."""
     c = F.col
     df = with_atr(bars).withColumns({"pc": lag("close"), "ph": lag("high"), "pl": lag("low"), "hi": before("max", "high", 40), "lo": before("min", "low", 40), "v50": rolling("mean", "volume", 50), "c20": lag("close", 20)})
@@ -135,10 +163,11 @@ def gaps(bars: DataFrame) -> DataFrame:
     narrow, heavy, ret20 = F.round((c("hi") - c("lo")) / c("close"), 8) < 0.25, F.when(c("v50").isNotNull(), F.round(c("volume") / F.greatest(c("v50"), F.lit(1.0)), 8)) >= 1.5, F.round(safe_div("close", "c20") - 1, 8)
     no = lambda x: F.coalesce(~x, F.lit(True))
     above, below = c("close") > c("hi"), c("close") < c("lo")
-    return emit(df, [("Breakaway gap up", "Gaps", 1, up & above & narrow & heavy, "ph"), ("Breakaway gap down", "Gaps", -1, down & below & narrow & heavy, "pl"), ("Runaway gap up", "Gaps", 1, up & (ret20 > 0.15) & no(above), "ph"), ("Runaway gap down", "Gaps", -1, down & (ret20 < -0.15) & no(below), "pl")])
+    return df, [("Breakaway gap up", "Gaps", 1, up & above & narrow & heavy, "ph"), ("Breakaway gap down", "Gaps", -1, down & below & narrow & heavy, "pl"), ("Runaway gap up", "Gaps", 1, up & (ret20 > 0.15) & no(above), "ph"), ("Runaway gap down", "Gaps", -1, down & (ret20 < -0.15) & no(below), "pl")]
 
 
-def exhaustion_gaps(bars: DataFrame, within: int = 5) -> DataFrame:
+@pattern("Exhaustion gap (up, filled)", "Exhaustion gap (down, filled)")
+def exhaustion_gaps(bars: DataFrame, within: int = 5) -> tuple[DataFrame, list[Rule]]:
     """Gaps after a run of 25% in 20 bars that a close fills within `within` bars: the first such close, once for each gap."""
     df = with_atr(bars).withColumns({"pc": lag("close"), "ph": lag("high"), "pl": lag("low"), "r20": F.round(safe_div("close", lag("close", 20)) - 1, 8)})
     big = F.round(F.abs(F.col("open") - F.col("pc")) - 0.5 * F.col("atr"), 8) >= 0
@@ -150,10 +179,11 @@ def exhaustion_gaps(bars: DataFrame, within: int = 5) -> DataFrame:
             filled = lambda close, e=f"{edge}{k}", d=d: (close < F.col(e)) if d < 0 else (close > F.col(e))
             open_yet = [~filled(lag("close", j)) for j in range(1, k)]
             rules.append((name, "Gaps", d, reduce(lambda a, b: a & b, open_yet, filled(F.col("close"))), F.round(f"{edge}{k}", 9)))
-    return emit(df, rules)
+    return df, rules
 
 
-def roundings(bars: DataFrame, widths: tuple[int, ...] = (60, 120, 250)) -> DataFrame:
+@pattern("Rounding bottom (saucer)", "Rounding top")
+def roundings(bars: DataFrame, widths: tuple[int, ...] = (60, 120, 250)) -> tuple[DataFrame, list[Rule]]:
     """Closes that cross the left rim of a parabola fitted to the closes before: least squares by window sums, places counted from the middle.
 
     A parabola explains 75% of the variance, has its vertex in the middle 40% of the window and is 10% deep; an event for each width.
@@ -179,16 +209,18 @@ def roundings(bars: DataFrame, widths: tuple[int, ...] = (60, 120, 250)) -> Data
         up, level = c(f"a{w}") > 0, c(f"rim{w}")
         rules.append(("Rounding bottom (saucer)", "Rounding", 1, c(f"fits{w}") & up & (c("close") > level) & (c("pc") <= level), f"rim{w}"))
         rules.append(("Rounding top", "Rounding", -1, c(f"fits{w}") & ~up & (c("close") < level) & (c("pc") >= level), f"rim{w}"))
-    return emit(df, rules)
+    return df, rules
 
 
-def event_declines(bars: DataFrame) -> DataFrame:
+@pattern("Event decline (>=15% in 2 days)")
+def event_declines(bars: DataFrame) -> tuple[DataFrame, list[Rule]]:
     """A fall of 15% or more in two days that wasn't already one the day before."""
     df = bars.withColumn("d2", F.round(safe_div("close", lag("close", 2)) - 1, 8))
-    return emit(df, [("Event decline (>=15% in 2 days)", "Event decline", 1, (F.col("d2") <= -0.15) & (lag("d2") > -0.15), "close")])
+    return df, [("Event decline (>=15% in 2 days)", "Event decline", 1, (F.col("d2") <= -0.15) & (lag("d2") > -0.15), "close")]
 
 
-def islands(bars: DataFrame, most: int = 15) -> DataFrame:
+@pattern("Island bottom", "Island top")
+def islands(bars: DataFrame, most: int = 15) -> tuple[DataFrame, list[Rule]]:
     """Bars cut off by gaps on both sides: 1 to `most` bars whose extremes leave the bar before and this bar apart."""
     kinds = []
     for k in range(1, most + 1):
@@ -196,13 +228,24 @@ def islands(bars: DataFrame, most: int = 15) -> DataFrame:
         high, low = F.max("high").over(w), F.min("low").over(w)
         kinds.append(F.when((high < lag("low", k + 1)) & (high < F.col("low")), 1).when((low > lag("high", k + 1)) & (low > F.col("high")), -1))
     df = bars.withColumn("kind", F.coalesce(*kinds))  # the shortest island counts
-    return emit(df, [("Island bottom", "Island reversal", 1, F.col("kind") == 1, "low"), ("Island top", "Island reversal", -1, F.col("kind") == -1, "high")])
+    return df, [("Island bottom", "Island reversal", 1, F.col("kind") == 1, "low"), ("Island top", "Island reversal", -1, F.col("kind") == -1, "high")]
+
+
+PATTERNS = (new_highs, key_reversals, turtle_soup, wyckoff, contraction_breaks, volume_patterns, flat_bases, gaps, exhaustion_gaps, roundings, event_declines, islands)
 
 
-def all_events(bars: DataFrame) -> DataFrame:
-    """The events of every bar pattern."""
-    found = [f(bars) for f in (new_highs, key_reversals, turtle_soup, wyckoff, contraction_breaks, volume_patterns, flat_bases, gaps, exhaustion_gaps, roundings, event_declines, islands)]
-    return reduce(DataFrame.unionByName, found)
+def all_events(bars: DataFrame, names: Iterable[str] | None = None) -> DataFrame:
+    """The events of the bar patterns, or of those that have the names: one pass over one sorted panel, to which each pattern adds an array of its hits."""
+    wanted = None if names is None else set(names)
+    due = [p for p in PATTERNS if wanted is None or wanted & set(p.names)] or [event_declines]
+    df = with_atr(bars)
+    kept = df.columns
+    for k, p in enumerate(due):
+        df = hits(*p.rules(df), kept).withColumnRenamed("e", f"_e{k}")
+        kept = df.columns
+    said = F.explode(F.flatten(F.array(*[f"_e{k}" for k in range(len(due))])))
+    out = df.select("symbol", "date", "t", said.alias("e")).select("symbol", "date", "t", "e.*")
+    return out if wanted is None else out.filter(F.col("pattern").isin(*wanted))
 
 
 def pattern_counts(events: DataFrame, bars: DataFrame) -> DataFrame:

@@ -273,9 +273,12 @@ query("pat_islands", _t0 + islands_sql("b0"), bars=False)(lambda spark, sf: P.is
 EVENTS = ", ev AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT * FROM (WITH RECURSIVE {q.removeprefix(', ')})" for q in (PATTERN_SQL["pat_new_highs"], PATTERN_SQL["pat_key_reversal"], PATTERN_SQL["pat_turtle_soup"], WY, _nr, VO, PATTERN_SQL["pat_flat_base"], gaps_sql("b"), exhaustion_sql("b"), rounding_sql("b"), PATTERN_SQL["pat_event_decline"], islands_sql("b"), PIPES_SQL)) + "), n AS (SELECT symbol, max(t) AS n FROM b GROUP BY 1)"
 
 
-def some_events(spark, sf) -> DataFrame:
+def some_events(spark, sf, names=None) -> DataFrame:
+    """The events of bars and weeks; with names only of those patterns, so that no others are computed."""
     b = B.walk(spark, sf)
-    return P.all_events(b).unionByName(charts.pipes_and_horns(b))
+    found = P.all_events(b, names)
+    weekly = names is None or set(names) & set(charts.WEEKLY)
+    return found.unionByName(charts.pipes_and_horns(b)) if weekly else found
 
 
 query("u2_event_union", EVENTS + " SELECT symbol, date, pattern, dir FROM ev")(lambda spark, sf: some_events(spark, sf).select("symbol", "date", "pattern", "dir"))
@@ -404,19 +407,23 @@ def session_rows(spark, sf) -> DataFrame:
     return rows.select("symbol", "close", F.round(F.col("close") * 0.02, 4).alias("atr"), (F.col("t") >= 209).alias("eligible"), F.col("ret_63").alias("p_long"), (-F.col("ret_21")).alias("p_short"))
 
 
+#: A documented stand-in for the proven effects, which aren't public: timeframe, pattern, direction, effect, excess return and hit rate.
+PROVEN_ROWS = [(tf, "52-week high breakout", 1, 1.0, 0.6, 0.02) for tf in ("ST", "MT", "LT")] + [("ST", "Key reversal day (bearish)", -1, -1.0, 0.7, 0.03), ("MT", "Key reversal day (bullish)", 1, 1.0, 0.4, 0.01), ("ST", "52-week low breakdown", -1, -1.0, 0.9, 0.2)]
+PROVEN_ROWS += [("MT", "Darvas box breakout", 1, 1.0, 0.3, 0.02), ("LT", "Darvas box breakdown", -1, -1.0, 0.5, 0.01), ("ST", "Fibonacci 38-62% pullback bounce (uptrend)", 1, 1.0, 0.2, 0.01), ("MT", "Fibonacci 38-62% rally failure (downtrend)", -1, -1.0, 0.3, 0.02)]
+
+
 def proven(spark) -> DataFrame:
-    rows = [(tf, "52-week high breakout", 1, 1.0, 0.6, 0.02) for tf in ("ST", "MT", "LT")] + [("ST", "Key reversal day (bearish)", -1, -1.0, 0.7, 0.03), ("MT", "Key reversal day (bullish)", 1, 1.0, 0.4, 0.01), ("ST", "52-week low breakdown", -1, -1.0, 0.9, 0.2)]
-    return spark.createDataFrame(rows, "tf string, pattern string, dir int, eff double, ex double, hx double")
+    return spark.createDataFrame(PROVEN_ROWS, "tf string, pattern string, dir int, eff double, ex double, hx double")
 
 
 def decisions(spark, sf) -> DataFrame:
     n = B.walk(spark, sf).groupBy("symbol").agg(F.max("t").alias("n"))
-    active = some_events(spark, sf).join(n, "symbol").filter("n - t < 60")
+    active = some_events(spark, sf, {r[1] for r in PROVEN_ROWS}).join(n, "symbol").filter("n - t < 60")
     return D.decide(session_rows(spark, sf), D.default_calibration(spark), D.evidence(active, proven(spark)))
 
 
 CAL = "(VALUES " + ", ".join(f"('{tf}', {k}, '{D.LABELS[k]}', {round(0.15 + 0.05 * i + 0.03 * k, 4)}::DOUBLE, {round(-0.5 + 0.3 * k, 4)}::DOUBLE, {thr}::DOUBLE)" for i, (tf, thr) in enumerate((("ST", 0.5), ("MT", 1.0), ("LT", 2.0))) for k in range(6)) + ") cal(tf, k, label, y, ret, thr)"
-PROVEN = "(VALUES " + ", ".join(f"('{tf}', '{p}', {d}, {e}::DOUBLE, {x}::DOUBLE, {h}::DOUBLE)" for tf, p, d, e, x, h in [(tf, "52-week high breakout", 1, 1.0, 0.6, 0.02) for tf in ("ST", "MT", "LT")] + [("ST", "Key reversal day (bearish)", -1, -1.0, 0.7, 0.03), ("MT", "Key reversal day (bullish)", 1, 1.0, 0.4, 0.01), ("ST", "52-week low breakdown", -1, -1.0, 0.9, 0.2)]) + ") pr(tf, pattern, dir, eff, ex, hx)"
+PROVEN = "(VALUES " + ", ".join(f"('{tf}', '{p}', {d}, {e}::DOUBLE, {x}::DOUBLE, {h}::DOUBLE)" for tf, p, d, e, x, h in PROVEN_ROWS) + ") pr(tf, pattern, dir, eff, ex, hx)"
 _bk = lambda q: "CASE " + " ".join(f"WHEN {q} >= {e} THEN {k}" for k, e in ((5, 0.95), (4, 0.85), (3, 0.7), (2, 0.5), (1, 0.2))) + f" WHEN {q} IS NOT NULL THEN 0 END"
 DECIDE = (
     EVENTS + LASTP + f", evi AS (SELECT DISTINCT ev.symbol, pr.tf, eff > 0 AS pro, ev.pattern, ex, hx FROM ev JOIN n USING (symbol) JOIN {PROVEN} ON pr.pattern = ev.pattern AND pr.dir = ev.dir WHERE n - ev.t < 60), es AS (SELECT symbol, tf, sum(CASE WHEN pro THEN ex ELSE -ex END) AS net_ret, sum(CASE WHEN pro THEN hx ELSE -hx END) AS net_hit FROM evi GROUP BY 1, 2), "

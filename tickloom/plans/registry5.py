@@ -30,4 +30,3 @@ PIPES_SQL = """, wk AS (
     WHERE nth > 13 AND hb > ha AND h > ha AND round(abs(hb - h) - 0.25 * rb, 8) <= 0 AND round(least(rb, rng) - 1.3 * u, 8) > 0 AND round(c - middle, 8) < 0 AND hb > h6 AND h > h6
 ) SELECT symbol, date, t, pattern, 'Pipes & horns' AS family, dir, floor(round(c, 9) * 1e6 + 0.5) / 1e6 AS level FROM ph"""
 query("pat_pipes_horns", PIPES_SQL)(lambda spark, sf: charts.pipes_and_horns(B.walk(spark, sf)))
-query("g_chart_patterns")(lambda spark, sf: charts.chart_patterns(B.walk(spark, sf)))

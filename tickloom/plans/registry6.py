@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
-from tickloom.functions.sqltext import S, r
-from tickloom.operators import figures, indicators, swings
-from tickloom.operators.charts import SCALES
+from tickloom.functions.sqltext import S, r, roll
+from tickloom.operators import charts, figures, indicators, swings
+from tickloom.operators.charts import POINTS, SCALES, TEMPLATES, at, choose
 from tickloom.operators.tables import derive_sql
 from tickloom.plans.registry import query
 from tickloom.sources import bars as B
@@ -155,3 +157,63 @@ FLAGS = _atr + f""", fl AS (
     ),
     ev AS (SELECT *, 'Flag / pennant' AS family, 'bar' AS scale FROM fg QUALIFY row_number() OVER (PARTITION BY symbol, pattern, start ORDER BY rank, t) = 1) """ + SHOWN
 query("pat_flags", FLAGS)(lambda spark, sf: figures.flags(B.walk(spark, sf)))
+
+
+def duck(text: str) -> str:
+    """A template's text in DuckDB's dialect: casts to whole numbers cut, and div is //."""
+    return re.sub(r"CAST\((.*?) AS long\) ", r"trunc(\1)::BIGINT ", text + " ").strip().replace(" div ", " // ")
+
+
+def charts_sql() -> str:
+    """Table `ev` of chart patterns: stretches of bars from the walk `zk`, the templates' conditions, what they count, and crossings."""
+    lags = ", ".join(f"lag({x}, {j}) OVER w AS {x}_{j}" for x in ("i", "px", "a", "atr") for j in range(1, POINTS))
+    name = {"i": "i", "px": "p", "a": "a", "atr": "b"}
+    signed = lambda x, v: f"-side * {v}" if x == "px" else v
+    known = ", ".join(f"{signed(x, x if j == 0 else f'{x}_{j}')} AS {name[x]}{j}" for x in name for j in range(POINTS))
+    older = lambda x, j: f"x_{x}" if j == 0 else x if j == 1 else f"{x}_{j - 1}"
+    running = ", ".join(f"{signed(x, older(x, j))} AS {name[x]}{j}" for x in name for j in range(POINTS))
+    limits = ", ".join("CASE scale " + " ".join(f"WHEN '{s}' THEN {v[j]}" for s, v in SCALES.items()) + f" END AS {n}" for j, n in enumerate(("k", "least_width", "most_width", "wider")))
+    sql = swing_sql(("atr",)) + f""",
+    cn AS (SELECT *, lead(t) OVER w AS next, {lags} FROM sw WINDOW w AS (PARTITION BY symbol, scale ORDER BY n)),
+    en AS (SELECT symbol, max(t) AS e FROM b GROUP BY 1),
+    mv AS (SELECT symbol, t, coalesce(close > m50 AND m50 > m150 AND m150 > m200, false) AS stacked FROM (SELECT *, {", ".join(f"round({roll('mean', 'close', n)}, 8) AS m{n}" for n in (50, 150, 200))} FROM b)),
+    ex AS (SELECT symbol, scale, t + 1 AS t, st, CASE WHEN st = 1 THEN hi_i ELSE lo_i END AS x FROM zk WHERE st <> 0),
+    tb AS (
+        SELECT c.symbol, c.scale, c.n, x, any_value(st) AS st, min(ex.t) AS first, max(ex.t) AS last FROM cn c JOIN en USING (symbol) JOIN ex ON ex.symbol = c.symbol AND ex.scale = c.scale AND ex.t > c.t AND ex.t <= least(coalesce(next, e), e) AND x > c.i
+        GROUP BY c.symbol, c.scale, c.n, x
+    ),
+    t0 AS (
+        SELECT symbol, scale, n AS pt, side, t AS first, coalesce(next - 1, e) AS last, false AS running, {known} FROM cn JOIN en USING (symbol)
+        UNION ALL
+        SELECT symbol, scale, pt, side, first, last, true AS running, {running}
+        FROM (SELECT c.* EXCLUDE (side, n, t), c.n AS pt, tb.st AS side, tb.first, tb.last, tb.x AS x_i, CASE WHEN tb.st > 0 THEN z.high ELSE z.low END AS x_px, z.a AS x_a, z.atr AS x_atr
+            FROM tb JOIN cn c ON c.symbol = tb.symbol AND c.scale = tb.scale AND c.n = tb.n JOIN zv z ON z.symbol = tb.symbol AND z.t = tb.x)
+    ),
+    t1 AS (SELECT t0.*, -side AS up, stacked, {limits} FROM t0 JOIN mv ON mv.symbol = t0.symbol AND mv.t = t0.i0)"""
+    last = "t1"
+    for j, level in enumerate(zip(*(charts.line_columns(n) for n in (6, 5, 4)), strict=True)):
+        sql += f", t{j + 2} AS MATERIALIZED (SELECT *, " + ", ".join(f"{duck(v)} AS {k}" for part in level for k, v in part.items()) + f" FROM {last})"
+        last = f"t{j + 2}"
+    parts = []
+    for n, x in enumerate(TEMPLATES):
+        cond = re.sub(r"\bh\b", f"({x.height})", x.when)
+        end = f"least(last, i0 + greatest(15, i0 - {x.start})" + (f", {x.expires})" if x.expires else ")")
+        parts.append(f"SELECT *, {n} AS template, {x.way} AS way, ({duck(x.start)})::BIGINT AS start, ({duck(end)})::BIGINT AS until, ({duck(x.height)})::DOUBLE AS h, {x.pick if x.pick is not None else 'NULL'}::INT AS rank FROM {last} WHERE p{x.points - 1} IS NOT NULL AND ({x.height}) IS NOT NULL AND {duck(cond)}")
+    bound = lambda j: duck(choose(x.counted and f"({x.counted[j]})" for x in TEMPLATES))
+    shown = lambda f: choose(getattr(x, f) if x.named else f"'{getattr(x, f)}'" for x in TEMPLATES)
+    sql += ", ca AS MATERIALIZED (SELECT *, row_number() OVER () AS id FROM (" + " UNION ALL ".join(parts) + ")), "
+    sql += f"cb AS (SELECT *, greatest(0, {bound(0)}) AS from_, {bound(1)} AS to_ FROM ca), "
+    sql += f"cs AS (SELECT id, sum({duck(choose(x.counted and x.counted[2] for x in TEMPLATES))}) AS n, count(*) AS m FROM (SELECT cb.*, b.t, up * b.close AS c, CASE WHEN up > 0 THEN b.low ELSE -b.high END AS l FROM cb JOIN b ON b.symbol = cb.symbol AND b.t BETWEEN from_ AND to_) GROUP BY id), "
+    sql += f"cc AS (SELECT ca.*, n, m FROM ca LEFT JOIN cs USING (id) WHERE {duck(choose((x.share if x.counted else 'true' for x in TEMPLATES), 'true'))}), "
+    sql += "cd AS (SELECT * FROM cc QUALIFY rank IS NULL OR rank = min(rank) OVER (PARTITION BY symbol, scale, pt, running, first)), "
+    sql += f"pr AS (SELECT symbol, date, t, close, lag(close) OVER ({S}) AS before FROM b), "
+    line, was = (duck(choose(at(x.line, v) for x in TEMPLATES)) for v in ("t", "(t - 1)"))
+    sql += f"cr AS (SELECT *, {line} AS _line, {was} AS _was FROM (SELECT cd.*, pr.date, pr.t, pr.close, pr.before FROM cd JOIN pr ON pr.symbol = cd.symbol AND pr.t BETWEEN greatest(first, 1) AND until)), "
+    sql += "cx AS (SELECT * FROM cr WHERE way * up * close > way * _line AND NOT way * up * before > way * _was QUALIFY row_number() OVER (PARTITION BY id ORDER BY t) = 1), "
+    sql += f"cy AS (SELECT *, CASE WHEN up > 0 THEN {shown('bull')} ELSE {shown('bear')} END AS pattern, {shown('family')} AS family, {duck(choose(x.variant for x in TEMPLATES))} AS variant, {duck(choose(x.target or f'_line + way * ({x.height})' for x in TEMPLATES))} AS aim, {duck(choose(x.stop for x in TEMPLATES))} AS out_ FROM cx), "
+    return sql + "ev AS (SELECT symbol, date, t, pattern, family, up * way AS dir, up * _line AS level, up * aim AS target, up * out_ AS stop, scale, start, variant FROM cy QUALIFY row_number() OVER (PARTITION BY symbol, scale, pattern, start ORDER BY pt, running, first, template) = 1) "
+
+
+CHARTS = charts_sql()
+_tie = lambda x: f"floor(round({x}, 9) * 1e6 + 0.5001) / 1e6 AS {x}"
+query("g_chart_patterns", CHARTS + f"SELECT symbol, date, t, pattern, family, dir, {_tie('level')}, {_tie('target')}, {_tie('stop')}, scale, start, variant FROM ev")(lambda spark, sf: charts.chart_patterns(B.walk(spark, sf)))
