@@ -12,6 +12,7 @@ from tickloom.operators import actions as A
 from tickloom.operators import crosssection as X
 from tickloom.operators import patterns as P
 from tickloom.operators import charts
+from tickloom.operators import events as Ev
 from tickloom.operators import scans as K
 from tickloom.operators.tables import derive_sql
 from tickloom.plans import decide as D
@@ -19,6 +20,7 @@ from tickloom.plans import ledger as L
 from tickloom.functions.sqltext import S, dist, div, flag, lag, prev, r, roll
 from tickloom.plans.registry import DAILY, TR, cols, query
 from tickloom.plans.registry5 import PIPES_SQL
+from tickloom.plans.registry6 import DARVAS, FIBONACCI
 from tickloom.sources import bars as B
 from tickloom.sources import files as Fi
 
@@ -273,12 +275,10 @@ query("pat_islands", _t0 + islands_sql("b0"), bars=False)(lambda spark, sf: P.is
 EVENTS = ", ev AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT * FROM (WITH RECURSIVE {q.removeprefix(', ')})" for q in (PATTERN_SQL["pat_new_highs"], PATTERN_SQL["pat_key_reversal"], PATTERN_SQL["pat_turtle_soup"], WY, _nr, VO, PATTERN_SQL["pat_flat_base"], gaps_sql("b"), exhaustion_sql("b"), rounding_sql("b"), PATTERN_SQL["pat_event_decline"], islands_sql("b"), PIPES_SQL)) + "), n AS (SELECT symbol, max(t) AS n FROM b GROUP BY 1)"
 
 
-def some_events(spark, sf, names=None) -> DataFrame:
-    """The events of bars and weeks; with names only of those patterns, so that no others are computed."""
+def some_events(spark, sf) -> DataFrame:
+    """The events of bars and weeks."""
     b = B.walk(spark, sf)
-    found = P.all_events(b, names)
-    weekly = names is None or set(names) & set(charts.WEEKLY)
-    return found.unionByName(charts.pipes_and_horns(b)) if weekly else found
+    return P.all_events(b).unionByName(charts.pipes_and_horns(b))
 
 
 query("u2_event_union", EVENTS + " SELECT symbol, date, pattern, dir FROM ev")(lambda spark, sf: some_events(spark, sf).select("symbol", "date", "pattern", "dir"))
@@ -418,15 +418,17 @@ def proven(spark) -> DataFrame:
 
 def decisions(spark, sf) -> DataFrame:
     n = B.walk(spark, sf).groupBy("symbol").agg(F.max("t").alias("n"))
-    active = some_events(spark, sf, {r[1] for r in PROVEN_ROWS}).join(n, "symbol").filter("n - t < 60")
+    active = Ev.events(B.walk(spark, sf), {r[1] for r in PROVEN_ROWS}).join(n, "symbol").filter("n - t < 60")
     return D.decide(session_rows(spark, sf), D.default_calibration(spark), D.evidence(active, proven(spark)))
 
 
 CAL = "(VALUES " + ", ".join(f"('{tf}', {k}, '{D.LABELS[k]}', {round(0.15 + 0.05 * i + 0.03 * k, 4)}::DOUBLE, {round(-0.5 + 0.3 * k, 4)}::DOUBLE, {thr}::DOUBLE)" for i, (tf, thr) in enumerate((("ST", 0.5), ("MT", 1.0), ("LT", 2.0))) for k in range(6)) + ") cal(tf, k, label, y, ret, thr)"
 PROVEN = "(VALUES " + ", ".join(f"('{tf}', '{p}', {d}, {e}::DOUBLE, {x}::DOUBLE, {h}::DOUBLE)" for tf, p, d, e, x, h in PROVEN_ROWS) + ") pr(tf, pattern, dir, eff, ex, hx)"
 _bk = lambda q: "CASE " + " ".join(f"WHEN {q} >= {e} THEN {k}" for k, e in ((5, 0.95), (4, 0.85), (3, 0.7), (2, 0.5), (1, 0.2))) + f" WHEN {q} IS NOT NULL THEN 0 END"
+#: Events that the decisions may read: those of bars, boxes and pullbacks.
+ACTIVE = "(SELECT symbol, t, pattern, dir FROM ev" + "".join(f" UNION ALL SELECT symbol, t, pattern, dir FROM (WITH RECURSIVE {q.strip().removeprefix(',')})" for q in (DARVAS, FIBONACCI)) + ")"
 DECIDE = (
-    EVENTS + LASTP + f", evi AS (SELECT DISTINCT ev.symbol, pr.tf, eff > 0 AS pro, ev.pattern, ex, hx FROM ev JOIN n USING (symbol) JOIN {PROVEN} ON pr.pattern = ev.pattern AND pr.dir = ev.dir WHERE n - ev.t < 60), es AS (SELECT symbol, tf, sum(CASE WHEN pro THEN ex ELSE -ex END) AS net_ret, sum(CASE WHEN pro THEN hx ELSE -hx END) AS net_hit FROM evi GROUP BY 1, 2), "
+    EVENTS + LASTP + f", evi AS (SELECT DISTINCT ev.symbol, pr.tf, eff > 0 AS pro, ev.pattern, ex, hx FROM {ACTIVE} ev JOIN n USING (symbol) JOIN {PROVEN} ON pr.pattern = ev.pattern AND pr.dir = ev.dir WHERE n - ev.t < 60), es AS (SELECT symbol, tf, sum(CASE WHEN pro THEN ex ELSE -ex END) AS net_ret, sum(CASE WHEN pro THEN hx ELSE -hx END) AS net_hit FROM evi GROUP BY 1, 2), "
     f"ro AS (SELECT symbol, close, round(close * 0.02, 4) AS atr, t >= 209 AS el, CASE WHEN t >= 209 THEN ret_63 END AS pl, CASE WHEN t >= 209 THEN -ret_21 END AS ps FROM lp), rk AS (SELECT *, round({pct_rank('pl', '1')}, 8) AS qb, round({pct_rank('ps', '1')}, 8) AS qs FROM ro), "
     f"kk AS (SELECT rk.*, tf.*, {_bk('qb')} AS kl, {_bk('qs')} AS ks FROM rk, {TF}), jj AS (SELECT kk.*, l.label AS l_label, s.label AS s_label, l.y, l.ret, l.thr, net_ret, coalesce(net_hit, 0.0) AS net_hit, ks >= 5 AS s_abs FROM kk LEFT JOIN {CAL.replace('cal(', 'l(')} ON l.tf = kk.tf AND l.k = kl LEFT JOIN {CAL.replace('cal(', 's(')} ON s.tf = kk.tf AND s.k = ks LEFT JOIN es ON es.symbol = kk.symbol AND es.tf = kk.tf), "
     "nn AS (SELECT *, round(least(greatest(coalesce(net_ret, 0.0), -3 * thr), 3 * thr), 8) AS net, greatest(-0.10, least(0.10, net_hit)) AS hit, kl >= 4 AS lm, ks >= 4 AS am FROM jj), "
