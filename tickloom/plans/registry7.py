@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from tickloom.functions.exprs import r6
 from tickloom.operators import events as Ev
+from tickloom.operators import hilbert as H
 from tickloom.operators import patterns as P
 from tickloom.operators import signals as Sg
 from tickloom.plans import registry2 as Q
@@ -23,3 +25,8 @@ _cnt = Q._cnt
 query("a4_all_pattern_counts", ALL_PATTERNS + ", c AS (SELECT n.symbol, " + ", ".join(f"{e.replace('ev.', 'pe.')} AS {k}" for k, e in _cnt.items()) + " FROM n LEFT JOIN pe USING (symbol) GROUP BY n.symbol) SELECT *, bull_20 - bear_20 AS net_20 FROM c", dates=())(
     lambda spark, sf: (lambda b: P.pattern_counts(Ev.events(b), b))(B.walk(spark, sf))
 )
+
+
+@query("ta_hilbert")
+def ta_hilbert(spark, sf):
+    return H.cycles(B.walk(spark, sf)).select("symbol", "date", *[r6(c).alias(c) for c in (*H.SHORT, *H.LONG)])
