@@ -96,6 +96,9 @@ class Quantiser:
         full = np.concatenate([self.books[p][codes[:, p]] for p in range(PARTS)], 1)
         return full[:, : self.centres.shape[1]]
 
+#: Pairs whose exact cosines are worked out at a time.
+PAIRS = 1 << 15
+
 
 class Forest:
     """A spanning forest of links between positions below n. roots[i] is the tree of i after each add()."""
@@ -302,12 +305,11 @@ def _matcher(sent, reach, cosine: float, width: int):
                         near &= m[None, :] < j[:, None]  # once each
                     if mixed:
                         near &= dim[m][None, :] == dim[j][:, None]
-                    if near.mean() > 1 / 16:
-                        u, v = np.nonzero(near & (x[j] @ x[m].T >= cosine))
-                    else:
-                        u, v = np.nonzero(near)
-                        hit = np.einsum("ij,ij->i", x[j[u]], x[m[v]]) >= cosine
-                        u, v = u[hit], v[hit]
+                    u, v = np.nonzero(near)
+                    # one formula however full the block is, some pairs at a time
+                    parts = [np.einsum("ij,ij->i", x[j[u[c : c + PAIRS]]], x[m[v[c : c + PAIRS]]]) >= cosine for c in range(0, len(u), PAIRS)]
+                    hit = np.concatenate(parts) if parts else np.zeros(0, bool)
+                    u, v = u[hit], v[hit]
                     if len(u):
                         more[j] += np.bincount(u, n[m[v]], len(j)).astype(np.int64)
                         more[m] += np.bincount(v, n[j[u]], len(m)).astype(np.int64)
