@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tickloom.functions.exprs import r6
+from tickloom.functions.sqltext import S, r
 from tickloom.operators import events as Ev
+from tickloom.operators import features as Fe
 from tickloom.operators import hilbert as H
+from tickloom.operators import model as M
 from tickloom.operators import patterns as P
 from tickloom.operators import signals as Sg
+from tickloom.operators.tables import derive, derive_sql
 from tickloom.plans import registry2 as Q
 from tickloom.plans import registry6 as R
 from tickloom.plans.registry import ORACLE_SQL, query
@@ -30,3 +36,30 @@ query("a4_all_pattern_counts", ALL_PATTERNS + ", c AS (SELECT n.symbol, " + ", "
 @query("ta_hilbert")
 def ta_hilbert(spark, sf):
     return H.cycles(B.walk(spark, sf)).select("symbol", "date", *[r6(c).alias(c) for c in (*H.SHORT, *H.LONG)])
+
+_model = M.stand_in()
+_fb, _fl = derive_sql("b", Fe.COLUMNS, M.FEATURES, "mf")
+_shown = ", ".join(f"round({c}, 8) AS {c}" for c in M.FEATURES)
+SCORES = _fb + f", mx AS (SELECT symbol, date, t, {_shown} FROM {_fl}), ms AS MATERIALIZED (SELECT symbol, date, t, " + ", ".join(f"1 / (1 + exp(-({bias!r}::DOUBLE + {' + '.join(M.tree_sql(x) for x in trees)}))) AS {tag}" for tag, (bias, trees) in _model.items()) + " FROM mx)"
+AUC = SCORES + ", mr AS (SELECT symbol, t, year(date) AS year, " + ", ".join(f"lead(close, {n}) OVER ({S}) / close - 1 AS r_{tf}" for tf, n in M.AHEAD.items()) + " FROM b), ml AS (" + " UNION ALL ".join(f"SELECT '{t[:2]}' AS tf, '{t[3:]}' AS side, year, round({t}, 4) AS score, round(r_{t[:2]}, 9) * {1 if t.endswith('L') else -1} > 0 AS y FROM ms JOIN mr USING (symbol, t)" for t in M.TAGS) + ")"
+
+
+def model_scores(spark, sf):
+    rows = derive(B.walk(spark, sf), Fe.COLUMNS, M.FEATURES).select("symbol", "date", "t", *[F.round(c, 8).alias(c) for c in M.FEATURES])
+    return M.scores(rows, M.read_model(M.write_model(M.FEATURES, _model)))
+
+
+def validation(spark, sf, by):
+    return M.discrimination(M.labelled(model_scores(spark, sf), B.walk(spark, sf)), by)
+
+
+def auc_sql(by: str) -> str:
+    """By ranks: the sum of the ranks of what came true, ties sharing their mean rank."""
+    ranked = f"SELECT *, rank() OVER (PARTITION BY {by} ORDER BY score) + (count(*) OVER (PARTITION BY {by}, score) - 1) / 2.0 AS rk FROM ml WHERE y IS NOT NULL"
+    p, q = "count_if(y)", "count_if(NOT y)"
+    return AUC + f", mk AS ({ranked}) SELECT {by}, count(*) AS n, {r(f'{p} / count(*)')} AS base_rate, {r(f'(sum(CASE WHEN y THEN rk END) - {p} * ({p} + 1) / 2.0) / nullif({p} * {q}, 0)')} AS auc FROM mk GROUP BY {by}"
+
+
+query("c6_model_score", SCORES + " SELECT symbol, date, " + ", ".join(f"{r(t)} AS {t}" for t in M.TAGS) + " FROM ms")(lambda spark, sf: model_scores(spark, sf).select("symbol", "date", *[r6(t).alias(t) for t in M.TAGS]))
+query("a16_auc_by_year", auc_sql("tf, side, year"), dates=())(lambda spark, sf: validation(spark, sf, ["tf", "side", "year"]))
+query("r7_model_validation", auc_sql("tf, side"), dates=())(lambda spark, sf: validation(spark, sf, ["tf", "side"]))
