@@ -5,8 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from tickloom.plans.ledger import insert_calls
 
@@ -67,3 +69,62 @@ def run_ledger(spark: SparkSession, folder: str, schema, ledger: str) -> DataFra
     found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern) or []
     versions = [int(f.getPath().getName()[1:]) for f in found]
     return spark.read.schema(columns).parquet(f"{ledger}/v{max(versions)}") if versions else spark.createDataFrame([], columns)
+
+
+CALLS = "symbol LONG, tf STRING, kind STRING, signal_date DATE, status STRING"
+LEDGER = "symbol LONG, tf STRING, kind STRING, signal_date DATE, status STRING, repeat_count INT, last_seen DATE"
+
+
+class OpenCall(StatefulProcessor):
+    """The open call of a (symbol, tf, kind): a later call repeats it, an outcome closes it, the next call opens another.
+
+    Emits each call that a batch changed, as it is afterwards. State holds one row a key however long the ledger gets.
+    """
+
+    def init(self, handle) -> None:
+        self.call = handle.getValueState("call", "signal_date DATE, status STRING, repeat_count INT, last_seen DATE")
+
+    def handleInputRows(self, key, rows, timerValues):
+        came = pd.concat(list(rows), ignore_index=True)
+        came = came.assign(last=came["status"].notna()).sort_values(["signal_date", "last"], kind="stable")
+        now = self.call.get() if self.call.exists() else None
+        changed = {}
+        for day, status in zip(came["signal_date"], came["status"].where(came["status"].notna(), None), strict=True):
+            open_ = now is not None and now[1] == "Pending"
+            if status is not None:
+                now = (now[0], status, now[2], now[3]) if open_ else now
+            elif open_:
+                now = (now[0], now[1], now[2] + 1, day) if day > now[3] else now
+            elif now is None or day != now[0]:
+                now = (day, "Pending", 0, day)
+            if now is not None:
+                changed[now[0]] = now
+        if now is not None:
+            self.call.update(now)
+        yield pd.DataFrame([(*key, *c) for c in changed.values()], columns=["symbol", "tf", "kind", "signal_date", "status", "repeat_count", "last_seen"])
+
+    def close(self) -> None:
+        pass
+
+
+def run_keyed_ledger(spark: SparkSession, folder: str, ledger: str) -> DataFrame:
+    """Streams files of calls and outcomes (symbol, tf, kind, signal_date, status), a session each, through keyed state; returns the ledger.
+
+    Each batch writes the calls that it changed into a folder of its own, which it replaces if it is run again; a call's newest row counts.
+    """
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    source = spark.readStream.schema(CALLS).option("maxFilesPerTrigger", 1).parquet(folder)
+    kept = source.groupBy("symbol", "tf", "kind").transformWithStateInPandas(statefulProcessor=OpenCall(), outputStructType=LEDGER, outputMode="Update", timeMode="None")
+
+    def write(df: DataFrame, batch: int) -> None:
+        df.write.mode("overwrite").parquet(f"{ledger}/changes/batch={batch}")
+
+    try:
+        kept.writeStream.outputMode("update").option("checkpointLocation", f"{ledger}/state").trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
+    finally:
+        spark.conf.set(key, before)
+    rows = spark.read.schema(f"{LEDGER}, batch INT").parquet(f"{ledger}/changes")
+    keys = ["symbol", "tf", "kind", "signal_date"]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct("status", "repeat_count", "last_seen"), "batch").alias("r")).select(*keys, "r.*")
