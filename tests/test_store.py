@@ -136,3 +136,23 @@ def test_ledger_as_keyed_state(spark, tmp_path):
         if k in (1, 3):  # the stream is stopped and started again between these
             assert shown(jobs.run_keyed_ledger(spark, inbox, ledger)) == batch_ledger(sessions[: k + 1])
     assert shown(jobs.run_keyed_ledger(spark, inbox, ledger)) == batch_ledger(sessions)
+
+
+def test_hourly_bars_go_on_where_they_stopped(spark, tmp_path):
+    schema, at = "event_id long, ts timestamp_ntz, event_type string, value double", lambda h, m: dt.datetime(2020, 1, 1, h, m)
+    parts = [[(1, at(9, 5), "a", 1.0), (2, at(9, 50), "a", 4.0), (3, at(10, 1), "b", 7.0)], [(4, at(9, 55), "a", 3.0), (5, at(10, 30), "b", 5.0)], [(6, at(14, 0), "a", 2.0)]]
+    inbox, target, state = str(tmp_path / "events"), str(tmp_path / "bars"), str(tmp_path / "state")
+    for k, rows in enumerate(parts):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(inbox)
+        got = jobs.run_hourly(spark, inbox, "*.parquet", schema, target, state)
+        if k == 1:
+            assert {(r.symbol, r.hour.hour): (r.open, r.high, r.low, r.close, r.volume) for r in got.collect()} == {("a", 9): (1.0, 4.0, 1.0, 3.0, 3), ("b", 10): (7.0, 7.0, 5.0, 5.0, 2)}
+    assert got.count() == 3
+
+
+def test_repeated_calls_keep_their_factor(spark):
+    from tickloom.plans.ledger import ca_factor
+
+    calls = spark.createDataFrame([("A", DAY[0])] * 2 + [("B", DAY[0])], "symbol string, signal_date date")
+    actions = spark.createDataFrame([("A", DAY[1], 0.5)], "symbol string, ex_date date, factor double")
+    assert sorted((r.symbol, r.factor) for r in ca_factor(calls, actions).collect()) == [("A", 0.5), ("A", 0.5), ("B", 1.0)]

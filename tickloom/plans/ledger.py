@@ -58,8 +58,9 @@ def forward_bars(calls: DataFrame, bars: DataFrame, extra: int = 0) -> DataFrame
 def ca_factor(calls: DataFrame, actions: DataFrame) -> DataFrame:
     """calls with factor: the product of the symbol's actions after the call's date, 1 without any."""
     a = actions.select("symbol", "ex_date", F.col("factor").alias("_f"))
-    df = calls.join(a, (calls["symbol"] == a["symbol"]) & (F.col("ex_date") > F.col("signal_date")), "left").drop(a["symbol"])
-    return df.groupBy(*calls.columns).agg(F.coalesce(F.product("_f"), F.lit(1.0)).alias("factor"))
+    rows = calls.withColumn("_row", F.monotonically_increasing_id())  # calls that repeat are rows of their own
+    df = rows.join(a, (rows["symbol"] == a["symbol"]) & (F.col("ex_date") > F.col("signal_date")), "left").drop(a["symbol"])
+    return df.groupBy("_row", *calls.columns).agg(F.coalesce(F.product("_f"), F.lit(1.0)).alias("factor")).drop("_row")
 
 
 def evaluate_trades(calls: DataFrame, bars: DataFrame) -> DataFrame:

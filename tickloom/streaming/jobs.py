@@ -32,17 +32,23 @@ def hourly_stream(events: DataFrame, late: str = "1 hour") -> DataFrame:
     ).select(F.col("event_type").alias("symbol"), F.col("w.start").alias("hour"), "open", "high", "low", "close", "volume")
 
 
-def run_hourly(spark: SparkSession, folder: str, files: str, schema, target: str | None = None) -> DataFrame:
-    """Streams the event files of a folder into a table of hourly bars, which each batch replaces; returns the table."""
-    target = target or state_folder(spark, "bars")
+def run_hourly(spark: SparkSession, folder: str, files: str, schema, target: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """Streams the event files of a folder into a table of hourly bars; returns the table.
+
+    Each batch writes the hours that it changed into a folder of its own, which it replaces if it is run again; an hour's newest row
+    counts, and hours that are final leave the state. With the same target and checkpoint a later call goes on from there.
+    """
+    target, checkpoint = target or state_folder(spark, "bars"), checkpoint or state_folder(spark, "state")
     source = spark.readStream.schema(schema).option("pathGlobFilter", files).parquet(folder)
 
-    def write(df: DataFrame, _batch: int) -> None:
-        df.write.mode("overwrite").parquet(target)
+    def write(df: DataFrame, batch: int) -> None:
+        df.write.mode("overwrite").parquet(f"{target}/batch={batch}")
 
-    query = hourly_stream(source).writeStream.outputMode("complete").option("checkpointLocation", state_folder(spark, "state")).trigger(availableNow=True).foreachBatch(write).start()
+    query = hourly_stream(source).writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
     query.awaitTermination()
-    return spark.read.parquet(target)
+    rows = spark.read.parquet(target)
+    values = ["open", "high", "low", "close", "volume"]
+    return rows.groupBy("symbol", "hour").agg(F.max_by(F.struct(*values), "batch").alias("r")).select("symbol", "hour", "r.*")
 
 
 def append_sessions(stored: DataFrame, new: DataFrame) -> DataFrame:
