@@ -206,7 +206,6 @@ PATTERN_SQL["pat_flat_base"] = FB + events_sql("x", [(f"Flat base breakout ({w}d
 query("pat_flat_base", PATTERN_SQL["pat_flat_base"])(lambda spark, sf: P.flat_bases(B.walk(spark, sf)))
 ED = f", x AS (SELECT *, round(({div('close', lag('close', 2))}) - 1, 8) AS d2 FROM b), y AS (SELECT *, {lag('d2')} AS p FROM x) "
 PATTERN_SQL["pat_event_decline"] = ED + events_sql("y", [("Event decline (>=15% in 2 days)", "Event decline", 1, "d2 <= -0.15 AND p > -0.15", "close")])
-query("pat_event_decline", PATTERN_SQL["pat_event_decline"])(lambda spark, sf: P.event_declines(B.walk(spark, sf)))
 _nr = ", x AS (SELECT *, round(high - low, 2) AS rng FROM b), y AS (SELECT *, rng <= (" + roll("min", "rng", 7) + f") AS nr, high <= {lag('high')} AND low >= {lag('low')} AS ins FROM x), "
 _nr += "e AS (SELECT a.symbol, c.date, c.t, a.t AS bt, kind, d, CASE WHEN d > 0 THEN a.high ELSE a.low END AS level FROM (SELECT *, unnest(['NR7', 'Inside day']) AS kind FROM y) a JOIN b c ON c.symbol = a.symbol AND c.t BETWEEN a.t + 1 AND a.t + 3, (VALUES (1), (-1)) v(d) WHERE (CASE WHEN kind = 'NR7' THEN a.nr ELSE a.ins END) AND (c.close - CASE WHEN d > 0 THEN a.high ELSE a.low END) * d > 0), "
 _nr += "f AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY symbol, bt, kind, d ORDER BY t) = 1) SELECT symbol, date, t, kind || ' breakout ' || CASE WHEN d > 0 THEN 'up' ELSE 'down' END AS pattern, 'Range contraction' AS family, d AS dir, floor(round(arg_max(level, bt), 9) * 1e6 + 0.5) / 1e6 AS level FROM f GROUP BY symbol, date, t, kind, d"
@@ -268,7 +267,8 @@ def noisy(spark, sf) -> DataFrame:
 
 _t0 = DAILY + f", b0 AS (SELECT *, row_number() OVER ({S}) - 1 AS t FROM b)"
 query("pat_gaps", _t0 + gaps_sql("b0"), bars=False)(lambda spark, sf: P.gaps(noisy(spark, sf)))
-query("pat_exhaustion_gaps", exhaustion_sql("b"))(lambda spark, sf: P.exhaustion_gaps(B.walk(spark, sf)))
+query("pat_exhaustion_gaps", _t0 + exhaustion_sql("b0"), bars=False)(lambda spark, sf: P.exhaustion_gaps(noisy(spark, sf)))
+query("pat_event_decline", _t0 + PATTERN_SQL["pat_event_decline"].replace("FROM b)", "FROM b0)"), bars=False)(lambda spark, sf: P.event_declines(noisy(spark, sf)))
 query("pat_roundings", rounding_sql("b"))(lambda spark, sf: P.roundings(B.walk(spark, sf)))
 query("pat_islands", _t0 + islands_sql("b0"), bars=False)(lambda spark, sf: P.islands(noisy(spark, sf)))
 #: The SQL of every bar pattern, each with its own tables over b.
