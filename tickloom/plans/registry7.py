@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickloom.functions.exprs import r6
-from tickloom.functions.sqltext import S, r
+from tickloom.functions.exprs import r6, safe_div
+from tickloom.functions.sqltext import S, div, r
 from tickloom.operators import events as Ev
 from tickloom.operators import features as Fe
 from tickloom.operators import hilbert as H
 from tickloom.operators import model as M
 from tickloom.operators import patterns as P
 from tickloom.operators import signals as Sg
+from tickloom.operators import windows as W
 from tickloom.operators.tables import derive, derive_sql
 from tickloom.plans import registry2 as Q
 from tickloom.plans import registry6 as R
@@ -63,3 +64,20 @@ def auc_sql(by: str) -> str:
 query("c6_model_score", SCORES + " SELECT symbol, date, " + ", ".join(f"{r(t)} AS {t}" for t in M.TAGS) + " FROM ms")(lambda spark, sf: model_scores(spark, sf).select("symbol", "date", *[r6(t).alias(t) for t in M.TAGS]))
 query("a16_auc_by_year", auc_sql("tf, side, year"), dates=())(lambda spark, sf: validation(spark, sf, ["tf", "side", "year"]))
 query("r7_model_validation", auc_sql("tf, side"), dates=())(lambda spark, sf: validation(spark, sf, ["tf", "side"]))
+
+#: Levels by the name that their columns bear.
+PIVOTS = {"P": "p", "R1": "r1", "S1": "s1", "CH4": "ch4", "CL4": "cl4"}
+_periods = {"w": "week", "m": "month"}
+
+
+def pivot_distances(bars):
+    """How far the close is from the levels of the last week and month, in mean true ranges of 14 bars."""
+    df = P.with_atr(bars).select("symbol", "date", "close", "atr")
+    for tag, period in _periods.items():
+        df = df.join(W.pivots(bars, period).select("symbol", "date", *[F.col(c).alias(f"{tag}_{n}") for n, c in PIVOTS.items()]), ["symbol", "date"])
+    return df.select("symbol", "date", *[r6(safe_div(F.col("close") - F.col(f"{tag}_{n}"), "atr")).alias(f"piv_{tag}_{n}_atr") for tag in _periods for n in PIVOTS])
+
+
+_pa, _pl = derive_sql("b", P.ATR, ["atr"], "pa")
+_joins = "".join(f" JOIN (SELECT symbol, CAST(date AS DATE) AS date, {', '.join(f'{c} AS {tag}_{n}' for n, c in PIVOTS.items())} FROM (WITH RECURSIVE {ORACLE_SQL[f'n18_pivots_{period}'].split(B.BARS_SQL, 1)[1].removesuffix(')').strip().removeprefix(',')})) USING (symbol, date)" for tag, period in _periods.items())
+query("piv_distances", _pa + "SELECT symbol, date, " + ", ".join(f"{r(div(f'close - {tag}_{n}', 'atr'))} AS piv_{tag}_{n}_atr" for tag in _periods for n in PIVOTS) + f" FROM {_pl}{_joins}")(lambda spark, sf: pivot_distances(B.walk(spark, sf)))
