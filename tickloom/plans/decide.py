@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.exprs import bucket, clip, r6, rank_pct
-from tickloom.plans.ledger import levels, timeframes
+from tickloom.plans.ledger import TIMEFRAMES, call_kind, levels, timeframes
 
 #: Edges of the six rank buckets.
 EDGES = [0.0, 0.2, 0.5, 0.7, 0.85, 0.95, 1.0]
@@ -38,9 +38,9 @@ def evidence(events: DataFrame, proven: DataFrame) -> DataFrame:
 
 
 def decide(rows: DataFrame, calibration: DataFrame, found: DataFrame) -> DataFrame:
-    """A call for each symbol and timeframe: rows (symbol, close, atr, eligible, p_long, p_short) of one session."""
-    tf = timeframes(rows.sparkSession)
-    df = rows.crossJoin(F.broadcast(tf))  # three timeframes
+    """A call for each symbol and timeframe: rows (symbol, close, atr, eligible, p_long, p_short) of one session, with tf where the scores differ by timeframe."""
+    tf = F.broadcast(timeframes(rows.sparkSession))  # three rows
+    df = rows.join(tf, "tf") if "tf" in rows.columns else rows.crossJoin(tf)
     el = F.col("eligible")
     df = df.withColumns({"pct_buy": F.round(rank_pct("p_long", ["tf"], el), 8), "pct_short": F.round(rank_pct("p_short", ["tf"], el), 8)})
     df = df.withColumns({"kl": bucket("pct_buy", EDGES), "ks": bucket("pct_short", EDGES)})
@@ -76,9 +76,21 @@ def top_picks(calls: DataFrame, k: int = 5) -> DataFrame:
     return calls.filter("side > 0").withColumn("place", F.row_number().over(Window.partitionBy("tf").orderBy(*order))).filter(F.col("place") <= k).select("tf", "place", "symbol", "type", "exp_ret_buy", "pct_buy")
 
 
-def top_avoids(calls: DataFrame, k: int = 10) -> DataFrame:
-    """The k strongest avoid flags of each timeframe."""
-    w = Window.partitionBy("tf").orderBy(F.col("pct_short").desc(), "symbol")
+def scored_rows(scores: DataFrame, facts: DataFrame, least_bars: int = 209, least_turnover: float = 10.0) -> DataFrame:
+    """A row for each symbol and timeframe of one session, from scores (symbol and a column `tf_side` a tag) and facts (symbol, close, atr, t, turnover).
+
+    Eligible are symbols with enough bars, enough turnover and a known true range; a score's rank counts among them only.
+    """
+    by_tf = F.explode(F.array(*[F.struct(F.lit(tf).alias("tf"), F.round(f"{tf}_L", 8).alias("p_long"), F.round(f"{tf}_S", 8).alias("p_short")) for tf, *_ in TIMEFRAMES])).alias("e")
+    el = (F.col("t") >= least_bars) & F.coalesce(F.col("turnover") >= least_turnover, F.lit(False)) & F.col("atr").isNotNull()
+    return facts.join(scores, "symbol").select("symbol", "close", "atr", el.alias("eligible"), by_tf).select("symbol", "close", "atr", "eligible", "e.*")
+
+
+def top_avoids(calls: DataFrame, k: int = 10, turnover: DataFrame | None = None) -> DataFrame:
+    """The k strongest avoid flags of each timeframe; of equal ones those that trade most, where turnover (symbol, turnover) is given."""
+    if turnover is not None:
+        calls = calls.join(turnover.select("symbol", "turnover"), "symbol", "left")
+    w = Window.partitionBy("tf").orderBy(F.col("pct_short").desc(), *([F.col("turnover").desc_nulls_last()] if turnover is not None else []), "symbol")
     return calls.filter(F.col("type").isin("Avoid (likely underperformer)", "Reduce / Avoid")).withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k).select("tf", "place", "symbol", "pct_short")
 
 

@@ -427,17 +427,24 @@ PROVEN = "(VALUES " + ", ".join(f"('{tf}', '{p}', {d}, {e}::DOUBLE, {x}::DOUBLE,
 _bk = lambda q: "CASE " + " ".join(f"WHEN {q} >= {e} THEN {k}" for k, e in ((5, 0.95), (4, 0.85), (3, 0.7), (2, 0.5), (1, 0.2))) + f" WHEN {q} IS NOT NULL THEN 0 END"
 #: Events that the decisions may read: those of bars, boxes and pullbacks.
 ACTIVE = "(SELECT symbol, t, pattern, dir FROM ev" + "".join(f" UNION ALL SELECT symbol, t, pattern, dir FROM (WITH RECURSIVE {q.strip().removeprefix(',')})" for q in (DARVAS, FIBONACCI)) + ")"
-DECIDE = (
-    EVENTS + LASTP + f", evi AS (SELECT DISTINCT ev.symbol, pr.tf, eff > 0 AS pro, ev.pattern, ex, hx FROM {ACTIVE} ev JOIN n USING (symbol) JOIN {PROVEN} ON pr.pattern = ev.pattern AND pr.dir = ev.dir WHERE n - ev.t < 60), es AS (SELECT symbol, tf, sum(CASE WHEN pro THEN ex ELSE -ex END) AS net_ret, sum(CASE WHEN pro THEN hx ELSE -hx END) AS net_hit FROM evi GROUP BY 1, 2), "
-    f"ro AS (SELECT symbol, close, round(close * 0.02, 4) AS atr, t >= 209 AS el, CASE WHEN t >= 209 THEN ret_63 END AS pl, CASE WHEN t >= 209 THEN -ret_21 END AS ps FROM lp), rk AS (SELECT *, round({pct_rank('pl', '1')}, 8) AS qb, round({pct_rank('ps', '1')}, 8) AS qs FROM ro), "
-    f"kk AS (SELECT rk.*, tf.*, {_bk('qb')} AS kl, {_bk('qs')} AS ks FROM rk, {TF}), jj AS (SELECT kk.*, l.label AS l_label, s.label AS s_label, l.y, l.ret, l.thr, net_ret, coalesce(net_hit, 0.0) AS net_hit, ks >= 5 AS s_abs FROM kk LEFT JOIN {CAL.replace('cal(', 'l(')} ON l.tf = kk.tf AND l.k = kl LEFT JOIN {CAL.replace('cal(', 's(')} ON s.tf = kk.tf AND s.k = ks LEFT JOIN es ON es.symbol = kk.symbol AND es.tf = kk.tf), "
+EVIDENCE = (
+    f", evi AS (SELECT DISTINCT ev.symbol, pr.tf, eff > 0 AS pro, ev.pattern, ex, hx FROM {ACTIVE} ev JOIN n USING (symbol) JOIN {PROVEN} ON pr.pattern = ev.pattern AND pr.dir = ev.dir WHERE n - ev.t < 60), es AS (SELECT symbol, tf, sum(CASE WHEN pro THEN ex ELSE -ex END) AS net_ret, sum(CASE WHEN pro THEN hx ELSE -hx END) AS net_hit FROM evi GROUP BY 1, 2)"
+)
+RATED = (
+    f", ro AS (SELECT symbol, close, round(close * 0.02, 4) AS atr, t >= 209 AS el, CASE WHEN t >= 209 THEN ret_63 END AS pl, CASE WHEN t >= 209 THEN -ret_21 END AS ps FROM lp), rk AS (SELECT *, round({pct_rank('pl', '1')}, 8) AS qb, round({pct_rank('ps', '1')}, 8) AS qs FROM ro), "
+    f"kk AS (SELECT rk.*, tf.*, {_bk('qb')} AS kl, {_bk('qs')} AS ks FROM rk, {TF})"
+)
+#: From rows of a session and timeframe (kk: standing, buckets, distances) and evidence (es) to calls.
+RULES = (
+    f", jj AS (SELECT kk.*, l.label AS l_label, s.label AS s_label, l.y, l.ret, l.thr, net_ret, coalesce(net_hit, 0.0) AS net_hit, ks >= 5 AS s_abs FROM kk LEFT JOIN {CAL.replace('cal(', 'l(')} ON l.tf = kk.tf AND l.k = kl LEFT JOIN {CAL.replace('cal(', 's(')} ON s.tf = kk.tf AND s.k = ks LEFT JOIN es ON es.symbol = kk.symbol AND es.tf = kk.tf), "
     "nn AS (SELECT *, round(least(greatest(coalesce(net_ret, 0.0), -3 * thr), 3 * thr), 8) AS net, greatest(-0.10, least(0.10, net_hit)) AS hit, kl >= 4 AS lm, ks >= 4 AS am FROM jj), "
     "ty AS (SELECT *, CASE WHEN NOT el OR qb IS NULL OR qs IS NULL THEN 'Not rated' WHEN kl = 5 AND net >= 0 AND NOT am THEN 'Strong Buy' WHEN ((lm AND net >= 0) OR (net >= thr AND kl > 0)) AND NOT am THEN CASE WHEN tf = 'LT' THEN 'Accumulate (buy on dips)' ELSE 'Buy' END WHEN am AND s_abs AND tf <> 'LT' AND net <= 0 AND NOT lm THEN CASE WHEN ks = 5 THEN 'Strong Short Sell' ELSE 'Short Sell' END "
     "WHEN (am AND net <= 0) OR (net <= -thr AND NOT lm) THEN CASE WHEN tf = 'LT' THEN 'Reduce / Avoid' ELSE 'Avoid (likely underperformer)' END WHEN (am AND net >= thr) OR (lm AND net <= -thr) THEN 'Hold (mixed signals)' ELSE 'Hold / No fresh trade' END AS type FROM nn), "
     "sd AS (SELECT *, CASE WHEN type IN ('Strong Buy', 'Buy', 'Accumulate (buy on dips)') THEN 1 WHEN type IN ('Short Sell', 'Strong Short Sell') THEN -1 ELSE 0 END AS side FROM ty), "
-    f"dec AS (SELECT symbol, tf, type, side, {r('qb')} AS pct_buy, {r('qs')} AS pct_short, l_label AS bucket_buy, s_label AS bucket_short, {r('greatest(0.01, least(0.99, y + hit))')} AS conf_buy, {r('ret + net')} AS exp_ret_buy, {r('net')} AS net_evidence, "
+    f"dec AS (SELECT symbol, tf, type, side, {r('qb')} AS pct_buy, {r('qs')} AS pct_short, l_label AS bucket_buy, s_label AS bucket_short, CASE WHEN y IS NOT NULL THEN {r('greatest(0.01, least(0.99, y + hit))')} END AS conf_buy, {r('ret + net')} AS exp_ret_buy, {r('net')} AS net_evidence, "
     "CASE WHEN side <> 0 THEN floor((close + side * cm * atr) * 1e2 + 0.5) / 1e2 END AS entry_limit, CASE WHEN side <> 0 THEN floor((close + side * tm * atr) * 1e2 + 0.5) / 1e2 END AS target, CASE WHEN side <> 0 THEN floor((close - side * sm * atr) * 1e2 + 0.5) / 1e2 END AS stop FROM sd)"
 )
+DECIDE = EVENTS + LASTP + EVIDENCE + RATED + RULES
 query("c7_decision", DECIDE + " SELECT * FROM dec", dates=())(decisions)
 query("d4_top_picks", DECIDE + " SELECT tf, place, symbol, type, exp_ret_buy, pct_buy FROM (SELECT *, row_number() OVER (PARTITION BY tf ORDER BY CASE WHEN type = 'Strong Buy' THEN 0 ELSE 1 END, exp_ret_buy DESC, pct_buy DESC, symbol)::INT AS place FROM dec WHERE side > 0) WHERE place <= 5", dates=())(lambda spark, sf: D.top_picks(decisions(spark, sf)))
 query("d5_top_avoid", DECIDE + " SELECT tf, place, symbol, pct_short FROM (SELECT *, row_number() OVER (PARTITION BY tf ORDER BY pct_short DESC, symbol)::INT AS place FROM dec WHERE type IN ('Avoid (likely underperformer)', 'Reduce / Avoid')) WHERE place <= 10", dates=())(lambda spark, sf: D.top_avoids(decisions(spark, sf)))
