@@ -5,7 +5,7 @@ import datetime
 import duckdb
 import pytest
 
-from tickloom.plans import registry, registry2, registry3, registry4, registry5, registry6, registry7, registry8  # noqa: F401
+from tickloom.plans import registry, registry2, registry3, registry4, registry5, registry6, registry7, registry8, registry9  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 

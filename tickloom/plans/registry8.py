@@ -142,6 +142,16 @@ query("p25_remarks", SCORED + _evt + f", rr AS (SELECT symbol, rs_rating FROM {n
     lambda s, f: Rm.remarks(scored_decisions(s, f), session_facts(s, f).withColumn("bars", F.col("t") + 1).join(X.rs_rating(Q.last_rows(s, f)).select("symbol", "rs_rating"), "symbol"), R.evidence_list(active_events(s, f), Q.proven(s)))
 )
 
-# The card of all bar patterns on the walk, and of the events of line items' daily prices, which find declines too.
-_t = lambda d: f"(tstat_60 * CASE WHEN dir < 0 THEN -1 ELSE 1 END)"
-_raw = f"CASE WHEN n_60 < {Rm.LEAST_EVENTS} OR tstat_60 IS NULL THEN 'Too few events' WHEN {_t(0)} >= {Rm.SURE} THEN 'Works (significant)' WHEN {_t(0)} <= -{Rm.SURE} THEN 'Works in reverse (fade it)' WHEN {_t(0)} >= {Rm.LIKELY} THEN 'Weak edge' WHEN {_t(0)} <= -{Rm.LIKELY} THEN 'Weak - tends to fail' ELSE 'No reliable edge' END"
+# The card of gaps, declines and islands of line items' daily prices, where declines occur.
+_t = "(tstat_60 * CASE WHEN dir < 0 THEN -1 ELSE 1 END)"
+_raw = f"CASE WHEN n_60 < {Rm.LEAST_EVENTS} OR tstat_60 IS NULL THEN 'Too few events' WHEN {_t} >= {Rm.SURE} THEN 'Works (significant)' WHEN {_t} <= -{Rm.SURE} THEN 'Works in reverse (fade it)' WHEN {_t} >= {Rm.LIKELY} THEN 'Weak edge' WHEN {_t} <= -{Rm.LIKELY} THEN 'Weak - tends to fail' ELSE 'No reliable edge' END"
+_word = "CASE verdict " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in Rm.SHORT_VERDICT.items()) + " END"
+_names = ", ".join(f"'{n}'" for n in Rm.ILLUSIONS)
+_ev = " UNION ALL ".join(f"SELECT symbol, t, pattern, family, dir FROM {nested(q)}" for q in (Q.gaps_sql("b0"), Q.PATTERN_SQL["pat_event_decline"].replace("FROM b)", "FROM b0)"), Q.islands_sql("b0")))
+_stats = ", ".join(f"count(c{n}) AS n_{n}, {r(div(f'avg(100 * (c{n} / c - 1))', f'(stddev_samp(100 * (c{n} / c - 1)) / sqrt(count(c{n})))'))} AS tstat_{n}" for n in (10, 60))
+query(
+    "p24_verdicts",
+    Q._t0 + f", ev AS ({_ev}), fw AS (SELECT symbol, t, close AS c, lead(close, 10) OVER (PARTITION BY symbol ORDER BY date) AS c10, lead(close, 60) OVER (PARTITION BY symbol ORDER BY date) AS c60 FROM b0), "
+    f"card AS (SELECT pattern, family, dir, count(*) AS n, {_stats} FROM ev JOIN fw USING (symbol, t) GROUP BY 1, 2, 3), v AS (SELECT *, {_raw} AS raw FROM card), w AS (SELECT *, CASE WHEN pattern IN ({_names}) AND raw NOT IN ('No reliable edge', 'Too few events', '') THEN 'Survivorship illusion' ELSE raw END AS verdict FROM v) "
+    f"SELECT pattern, family, dir, n, raw, verdict, {_word} AS word FROM w", bars=False, dates=(),
+)(lambda s, f: (lambda b: Rm.verdicts(R.report_card(P.gaps(b).unionByName(P.event_declines(b)).unionByName(P.islands(b)), b)))(Q.noisy(s, f)))

@@ -75,13 +75,13 @@ def parse_constituents(lines: DataFrame, least: int = 450) -> DataFrame:
     return df
 
 
-def read_actions(spark: SparkSession, path: str) -> DataFrame:
+def read_actions(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
     """Manual corporate actions: symbol, ex_date, factor, note; lines that begin with # are comments."""
-    return spark.read.csv(path, schema="symbol STRING, ex_date DATE, factor DOUBLE, note STRING", header=True, comment="#", ignoreLeadingWhiteSpace=True)
+    return spark.read.csv(path, schema="symbol STRING, ex_date DATE, factor DOUBLE, note STRING", header=header, comment="#", ignoreLeadingWhiteSpace=True)
 
 
-def read_symbol_changes(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, schema="old_symbol STRING, new_symbol STRING", header=True, comment="#", ignoreLeadingWhiteSpace=True)
+def read_symbol_changes(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
+    return spark.read.csv(path, schema="old_symbol STRING, new_symbol STRING", header=header, comment="#", ignoreLeadingWhiteSpace=True)
 
 
 def check_session(rows: DataFrame, session: str, least: int = 500) -> None:
@@ -95,3 +95,15 @@ def modal_date(rows: DataFrame) -> DataFrame:
     """date: the commonest one, the earliest of equally common ones."""
     n = rows.groupBy("date").count()
     return n.agg(F.min_by("date", F.struct(-F.col("count"), "date")).alias("date"), F.max("count").alias("n"))
+
+
+def session_states(rows: DataFrame, least: int = 500) -> DataFrame:
+    """session, n, day (the commonest date, the earliest of equally common ones) and what each session's file is worth.
+
+    rows: session (the wanted day, the file's) and date (the row's). ok, short (too few rows), stale (of an earlier day), wrong (of a
+    later one) or undated; a file is judged in this order.
+    """
+    by = rows.groupBy("session", "date").agg(F.count("*").alias("_n"))
+    one = by.groupBy("session").agg(F.sum("_n").alias("n"), F.min_by("date", F.when(F.col("date").isNotNull(), F.struct(-F.col("_n"), F.col("date")))).alias("day"))
+    state = F.when(F.col("n") < least, "short").when(F.col("day").isNull(), "undated").when(F.col("day") < F.col("session"), "stale").when(F.col("day") > F.col("session"), "wrong").otherwise("ok")
+    return one.select("session", "n", "day", state.alias("state"))
