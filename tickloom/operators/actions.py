@@ -19,13 +19,35 @@ def detect_actions(bars: DataFrame) -> DataFrame:
 def adjust(bars: DataFrame, actions: DataFrame) -> DataFrame:
     """Bars before an action get its factor: prices times it, volume and delivered quantity divided by it; later factors multiply.
 
-    One window from the newest bar back carries the product, so a symbol's actions are applied in one pass.
+    Actions join the bars as rows of their day, also where no bar has that day, and one window from the newest day back carries the
+    product, so a symbol's actions are applied in one pass.
     """
-    a = actions.groupBy("symbol", F.col("ex_date").alias("date")).agg(F.product("factor").alias("_f"))
-    df = bars.join(a, ["symbol", "date"], "left")
-    later = Window.partitionBy("symbol").orderBy(F.col("date").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    df = df.withColumn("adj", F.exp(F.coalesce(F.sum(F.ln("_f")).over(later), F.lit(0.0))))
-    return df.withColumns({c: F.col(c) * F.col("adj") for c in ("open", "high", "low", "close")} | {c: F.col(c) / F.col("adj") for c in ("volume", "deliv_qty")}).drop("_f", "prev_close")
+    a = actions.select("symbol", F.col("ex_date").alias("date"), F.ln("factor").alias("_f"))
+    df = bars.withColumn("_bar", F.lit(True)).unionByName(a, allowMissingColumns=True).withColumn("_day", F.unix_date("date"))
+    later = Window.partitionBy("symbol").orderBy(F.col("_day").desc()).rangeBetween(Window.unboundedPreceding, -1)
+    df = df.withColumn("adj", F.exp(F.coalesce(F.sum("_f").over(later), F.lit(0.0)))).filter("_bar")
+    return df.withColumns({c: F.col(c) * F.col("adj") for c in ("open", "high", "low", "close")} | {c: F.col(c) / F.col("adj") for c in ("volume", "deliv_qty")}).drop("_f", "_bar", "_day", "prev_close")
+
+
+KEY = ["symbol", "ex_date", "factor"]
+
+
+def due_actions(manual: DataFrame, applied: DataFrame, bars: DataFrame) -> DataFrame:
+    """Manual actions (symbol, ex_date, factor as texts) that are still to be applied: each text once, none whose text `applied` has.
+
+    A row that can't be read, or of a symbol without bars, isn't due. A factor may be undone by another row with its inverse.
+    """
+    tidy = manual.select(*[F.trim(c).alias(c) for c in KEY]).dropna().dropDuplicates()
+    tidy = tidy.join(applied.select(*KEY), KEY, "left_anti").join(bars.select(F.col("symbol").cast("string").alias("symbol")).distinct(), "symbol", "left_semi")
+    read = tidy.withColumns({"day": F.col("ex_date").try_cast("date"), "value": F.col("factor").try_cast("double")})
+    return read.filter("day IS NOT NULL AND value > 0 AND value < double('Infinity')")
+
+
+def apply_manual(bars: DataFrame, manual: DataFrame, applied: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Bars with the manual actions that are due, and the applied ones afterwards: a second call with these changes nothing."""
+    due = due_actions(manual, applied, bars)
+    factors = due.select(F.col("symbol").cast(bars.schema["symbol"].dataType).alias("symbol"), F.col("day").alias("ex_date"), F.col("value").alias("factor"))
+    return adjust(bars, factors), applied.select(*KEY).unionByName(due.select(*KEY))
 
 
 def rename(bars: DataFrame, changes: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.exprs import r6
 from tickloom.functions.sqltext import div, r
+from tickloom.operators import candles as C
 from tickloom.operators import crosssection as X
 from tickloom.operators import events as Ev
 from tickloom.operators import features as Fe
@@ -17,16 +18,25 @@ from tickloom.operators.tables import derive, derive_sql
 from tickloom.operators.windows import with_bench
 from tickloom.plans import decide as D
 from tickloom.plans import registry2 as Q
-from tickloom.plans import registry7 as G
+from tickloom.plans import registry4 as G4
 from tickloom.plans import remarks as Rm
 from tickloom.plans import reports as R
 from tickloom.plans.registry import ORACLE_SQL, query
 from tickloom.sources import bars as B
+from tickloom.streaming import jobs
 
 W = B.walk
 nested = lambda q: f"(WITH RECURSIVE {q.strip().removeprefix(',')})"
 registered = lambda name: ORACLE_SQL[name].split(B.BARS_SQL, 1)[1].removesuffix(")")
 
+
+def written(spark, df: DataFrame, kind: str) -> DataFrame:
+    """A session's rows in the shared folder, since several steps read them: a row a symbol."""
+    path = jobs.state_folder(spark, kind)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 # ---- ranks of the day ---------------------------------------------------------------------------------------------
 _text = [c for c in St.RANKED if c != "maxdd_252"]
 _sb, _sl = derive_sql("bq", St.COLUMNS, _text, "sd")
@@ -39,7 +49,7 @@ STANDING = (
 
 def session_standing(spark, sf) -> DataFrame:
     bars = W(spark, sf)
-    return X.latest(St.standing(with_bench(bars, B.benchmark(bars)))).withColumn("date", F.lit("2001-12-31").cast("date"))
+    return written(spark, X.latest(St.standing(with_bench(bars, B.benchmark(bars)))).withColumn("date", F.lit("2001-12-31").cast("date")), "standing")
 
 
 query("c2_all_ranks", STANDING + " SELECT symbol, date, " + ", ".join(f"{r(Q.pct_rank(c, '1'))} AS xs_rank_{c}" for c in St.RANKED) + " FROM ss")(lambda s, f: St.day_ranks(session_standing(s, f)))
@@ -77,7 +87,8 @@ SCORED = (
 def session_facts(spark, sf) -> DataFrame:
     """Each symbol's last bar: close, true range, turnover, the model's features and what remarks read."""
     df = X.latest(derive(W(spark, sf), Fe.COLUMNS, [*M.FEATURES, "atr14", "turn20", *FACTS]))
-    return df.select("symbol", "t", "close", F.round("atr14", 4).alias("atr"), F.round("turn20", 9).alias("turnover"), *[F.round(c, 8).alias(c) for c in _kept])
+    df = df.select("symbol", "t", "close", F.round("atr14", 4).alias("atr"), F.round("turn20", 9).alias("turnover"), *[F.round(c, 8).alias(c) for c in _kept])
+    return written(spark, df, "facts")
 
 
 def active_events(spark, sf) -> DataFrame:
@@ -86,8 +97,8 @@ def active_events(spark, sf) -> DataFrame:
     return Ev.events(W(spark, sf), {x[1] for x in Q.PROVEN_ROWS}).join(n, "symbol").filter("n - t < 60")
 
 
-def scored_decisions(spark, sf) -> DataFrame:
-    facts = session_facts(spark, sf)
+def scored_decisions(spark, sf, facts: DataFrame | None = None) -> DataFrame:
+    facts = session_facts(spark, sf) if facts is None else facts
     scores = M.scores(facts.select("symbol", *M.FEATURES), M.read_model(M.write_model(M.FEATURES, M.stand_in()))).select("symbol", *M.TAGS)
     return D.decide(D.scored_rows(scores, facts.select("symbol", "close", "atr", "t", "turnover"), least_turnover=FLOOR), D.default_calibration(spark), D.evidence(active_events(spark, sf), Q.proven(spark)))
 
@@ -95,7 +106,7 @@ def scored_decisions(spark, sf) -> DataFrame:
 query("c7_scored_decision", SCORED + " SELECT * FROM dec", dates=())(scored_decisions)
 query("p7_eligible", LAST + f" SELECT symbol, t + 1 AS bars, {_el} AS eligible FROM fa", dates=())(lambda s, f: session_facts(s, f).select("symbol", (F.col("t") + 1).alias("bars"), ((F.col("t") >= 209) & F.coalesce(F.col("turnover") >= FLOOR, F.lit(False)) & F.col("atr").isNotNull()).alias("eligible")))
 query("d5_scored_avoid", SCORED + " SELECT tf, place, symbol, pct_short FROM (SELECT dec.*, row_number() OVER (PARTITION BY tf ORDER BY pct_short DESC, turnover DESC NULLS LAST, symbol)::INT AS place FROM dec JOIN fa USING (symbol) WHERE type IN ('Avoid (likely underperformer)', 'Reduce / Avoid')) WHERE place <= 10", dates=())(
-    lambda s, f: D.top_avoids(scored_decisions(s, f), turnover=session_facts(s, f))
+    lambda s, f: (lambda x: D.top_avoids(scored_decisions(s, f, x), turnover=x))(session_facts(s, f))
 )
 query("p15_call_kinds", SCORED + " SELECT symbol, tf, CASE WHEN type IN ('Strong Buy', 'Buy', 'Accumulate (buy on dips)') THEN 'BUY' WHEN type IN ('Short Sell', 'Strong Short Sell') THEN 'SHORT' WHEN type IN ('Avoid (likely underperformer)', 'Reduce / Avoid') THEN 'AVOID' END AS kind FROM dec", dates=())(
     lambda s, f: scored_decisions(s, f).select("symbol", "tf", D.call_kind("type").alias("kind"))
@@ -137,9 +148,17 @@ REMARK = (
     f"concat_ws('; ', 'RSI ' || {_w('rsi14')}, 'RS rating ' || rs_rating::INT, {_w('dist_52w_high')} || '% from the 52-week high', CASE tf WHEN 'ST' THEN {_way('dist_ema20')} || ' the 20-bar average' WHEN 'MT' THEN {_avg(50)} ELSE {_avg(200)} END, "
     f"CASE WHEN abs(deliv_pct_5_minus_20) >= 5 THEN 'delivery ' || CASE WHEN deliv_pct_5_minus_20 > 0 THEN 'rising' ELSE 'falling' END || ' (' || {_sg('deliv_pct_5_minus_20', 0)} || ' points)' END, CASE WHEN atr_pct_14 > 5 THEN 'volatile (' || (floor(atr_pct_14 * 10 + 0.5) / 10)::VARCHAR || '% a day)' END) || '.'"
 )
+
+
+def session_remarks(spark, sf, facts: DataFrame, calls: DataFrame | None = None) -> DataFrame:
+    calls = scored_decisions(spark, sf, facts) if calls is None else calls
+    rated = facts.withColumn("bars", F.col("t") + 1).join(X.rs_rating(Q.last_rows(spark, sf)).select("symbol", "rs_rating"), "symbol")
+    return Rm.remarks(calls, rated, R.evidence_list(active_events(spark, sf), Q.proven(spark)))
+
+
 _evt = f", ej AS (SELECT ev.symbol, tf, ev.pattern, eff > 0 AS pro, ex, ev.t FROM {Q.ACTIVE} ev JOIN n USING (symbol) JOIN {Q.PROVEN} ON pr.pattern = ev.pattern AND pr.dir = ev.dir WHERE n - ev.t < 60), eo AS (SELECT symbol, tf, pro, pattern, arg_max(ex, t) AS ex FROM ej GROUP BY ALL), ep AS (SELECT *, row_number() OVER (PARTITION BY symbol, tf, pro ORDER BY ex DESC, pattern) AS k FROM eo), et AS (SELECT symbol, tf, substring(string_agg(CASE WHEN pro THEN '+ ' ELSE '- ' END || pattern, '; ' ORDER BY NOT pro, k), 1, 500) AS evidence FROM ep WHERE k <= 2 GROUP BY 1, 2)"
 query("p25_remarks", SCORED + _evt + f", rr AS (SELECT symbol, rs_rating FROM {nested(registered('c1_rs_rating'))}) SELECT symbol, tf, type, {REMARK} AS remark FROM dec JOIN fa USING (symbol) JOIN rr USING (symbol) LEFT JOIN et USING (symbol, tf)", dates=())(
-    lambda s, f: Rm.remarks(scored_decisions(s, f), session_facts(s, f).withColumn("bars", F.col("t") + 1).join(X.rs_rating(Q.last_rows(s, f)).select("symbol", "rs_rating"), "symbol"), R.evidence_list(active_events(s, f), Q.proven(s)))
+    lambda s, f: session_remarks(s, f, session_facts(s, f))
 )
 
 # The card of gaps, declines and islands of line items' daily prices, where declines occur.
@@ -155,3 +174,32 @@ query(
     f"card AS (SELECT pattern, family, dir, count(*) AS n, {_stats} FROM ev JOIN fw USING (symbol, t) GROUP BY 1, 2, 3), v AS (SELECT *, {_raw} AS raw FROM card), w AS (SELECT *, CASE WHEN pattern IN ({_names}) AND raw NOT IN ('No reliable edge', 'Too few events', '') THEN 'Survivorship illusion' ELSE raw END AS verdict FROM v) "
     f"SELECT pattern, family, dir, n, raw, verdict, {_word} AS word FROM w", bars=False, dates=(),
 )(lambda s, f: (lambda b: Rm.verdicts(R.report_card(P.gaps(b).unionByName(P.event_declines(b)).unionByName(P.islands(b)), b)))(Q.noisy(s, f)))
+
+
+# ---- the sheet and the catalogue ------------------------------------------------------------------------------------------
+@query(
+    "r2_session_sheet",
+    SCORED + _evt + f", rr AS (SELECT symbol, rs_rating FROM {nested(registered('c1_rs_rating'))}), st AS (SELECT symbol, trend_st FROM {nested(registered('p14_short_trend'))} QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY date DESC) = 1), "
+    f"sc AS (SELECT symbol, avg({G4._std}) AS score, max(CASE WHEN tf = 'ST' THEN pct_buy END) AS best FROM dec GROUP BY 1), pl AS (SELECT symbol, row_number() OVER (ORDER BY round(score, 8), -coalesce(best, -1.0), symbol) AS place FROM sc) "
+    "SELECT place, symbol, company, industry, tf, type, CASE WHEN type IN ('Strong Buy', 'Buy', 'Accumulate (buy on dips)') THEN 'BUY' WHEN type IN ('Short Sell', 'Strong Short Sell') THEN 'SHORT' WHEN type IN ('Avoid (likely underperformer)', 'Reduce / Avoid') THEN 'AVOID' END AS kind, pct_buy, pct_short, bucket_buy, bucket_short, conf_buy, exp_ret_buy, net_evidence, "
+    f"close AS price, atr, entry_limit, target, stop, {r('CASE WHEN side <> 0 THEN abs(target - close) / close END')} AS profit, {r('CASE WHEN side <> 0 THEN abs(close - stop) / close END')} AS loss, CASE WHEN side <> 0 THEN CASE tf " + " ".join(f"WHEN '{x[0]}' THEN {x[4]}" for x in Q.L.TIMEFRAMES) + " END END AS days, "
+    f"CASE tf WHEN 'ST' THEN trend_st WHEN 'MT' THEN {G4._way(50)} ELSE {G4._way(200)} END AS trend, evidence, {REMARK} AS remark FROM dec JOIN fa USING (symbol) JOIN rr USING (symbol) JOIN st USING (symbol) JOIN pl USING (symbol) JOIN u USING (symbol) LEFT JOIN et USING (symbol, tf)", dates=(),
+)
+def r2_session_sheet(spark, sf):
+    facts = session_facts(spark, sf)
+    calls = written(spark, scored_decisions(spark, sf, facts), "calls")
+    short = X.latest(derive(W(spark, sf), Fe.COLUMNS, ["dist_ema20", "ta_SUPERTREND_trend"])).select("symbol", Rm.short_trend(F.round("dist_ema20", 8), F.col("ta_SUPERTREND_trend")).alias("trend_st"))
+    return R.session_sheet(calls, facts.join(short, "symbol"), B.universe(spark, sf), R.evidence_list(active_events(spark, sf), Q.proven(spark)), session_remarks(spark, sf, facts, calls))
+
+
+#: Columns of the catalogue: what the features and candles have SQL for.
+_listed = {"Indicator": Fe.WINDOWED + Fe.LEVELS, "Candlestick": C.NAMES}
+_known = ", ".join(f"count({n}) AS {n}" for n in _listed["Indicator"])
+_cb, _cl = derive_sql("b", Fe.COLUMNS, _listed["Indicator"], "cf")
+_kb, _kl = derive_sql("b", C.COLUMNS, C.NAMES, "ck")
+_model = ", ".join(f"'{n}'" for n in M.FEATURES)
+query(
+    "r8_catalogue",
+    Q.EVENTS + _cb + _kb + f", c1 AS (SELECT {_known} FROM {_cl}), c2 AS (SELECT {', '.join(f'count_if({n} <> 0)::BIGINT AS {n}' for n in C.NAMES)} FROM {_kl}), ct AS (SELECT 'Indicator' AS type, '' AS family, name, n FROM (UNPIVOT c1 ON COLUMNS(*) INTO NAME name VALUE n) UNION ALL SELECT 'Candlestick', '', name, n FROM (UNPIVOT c2 ON COLUMNS(*) INTO NAME name VALUE n) "
+    f"UNION ALL SELECT 'Pattern', family, pattern, count(*) FROM ev GROUP BY 1, 2, 3) SELECT type, family, name, n, name IN ({_model}) AS in_model FROM ct", dates=(),
+)(lambda s, f: R.catalogue(derive(W(s, f), Fe.COLUMNS, _listed["Indicator"]), _listed["Indicator"], derive(W(s, f), C.COLUMNS, C.NAMES), C.NAMES, Q.some_events(s, f), M.FEATURES))

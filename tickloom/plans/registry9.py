@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.exprs import finite_float, half_up, r6
+from tickloom.functions.exprs import by_symbol, finite_float, half_up, r6
 from tickloom.functions.sqltext import dist, lag, r
+from tickloom.operators import actions as A
 from tickloom.plans import registry2 as Q
 from tickloom.plans.registry import query
 from tickloom.sources import bars as B
@@ -113,3 +114,31 @@ _ret = dist("close", lag("close"))
 query("p5_finite_features", f", x AS (SELECT *, CASE WHEN t % 50 = 7 THEN 'inf'::DOUBLE WHEN t % 50 = 8 THEN '-inf'::DOUBLE WHEN t % 50 = 9 THEN 'nan'::DOUBLE ELSE round({_ret}, 8) END AS v FROM b) SELECT symbol, date, {r('CASE WHEN isfinite(v) THEN v::FLOAT::DOUBLE END')} AS ret FROM x")(
     lambda s, f: W(s, f).selectExpr("*", f"CASE WHEN t % 50 = 7 THEN double('Infinity') WHEN t % 50 = 8 THEN double('-Infinity') WHEN t % 50 = 9 THEN double('NaN') ELSE round({_ret}, 8) END AS v").select("symbol", "date", r6(finite_float("v").cast("double")).alias("ret"))
 )
+
+
+def raw_bars(spark, sf) -> DataFrame:
+    """Bars as an exchange states them, with a split or bonus on every bar 13 of 97: earlier prices unadjusted, the previous close adjusted on the day."""
+    b = W(spark, sf)
+    raw = A.adjust(b, Q.factors(spark, sf).withColumn("factor", 1 / F.col("factor"))).drop("adj")
+    due = F.when(F.col("t") % 97 == 13, F.when(F.col("t") % 2 == 0, 0.5).otherwise(0.8)).otherwise(1.0)
+    return raw.withColumn("prev_close", F.lag("close").over(by_symbol()) * due)
+
+
+query("c13_detect", Q.ACT + " SELECT symbol, ex_date, round(f, 8)::DOUBLE AS factor FROM act", dates=("ex_date",))(lambda s, f: A.detect_actions(raw_bars(s, f)).select("symbol", "ex_date", F.round("factor", 8).alias("factor")))
+query("c13_detect_and_adjust", " SELECT symbol, date, round(close, 6) AS close, round(high, 6) AS high, round(volume, 6) AS volume FROM b")(
+    lambda s, f: (lambda b: A.adjust(b, A.detect_actions(b)).select("symbol", "date", *[F.round(c, 6).alias(c) for c in ("close", "high", "volume")]))(raw_bars(s, f))
+)
+
+
+@query("c14_apply_manual", ", mn AS (SELECT symbol, date + 1 AS ex, 0.5::DOUBLE AS f FROM b WHERE t % 89 = 7 UNION ALL SELECT symbol, date, 2.0 FROM b WHERE t % 89 = 40), x AS (SELECT b.symbol, b.date, b.close, b.volume, coalesce((SELECT product(f) FROM mn WHERE mn.symbol = b.symbol AND mn.ex > b.date), 1.0) AS adj FROM b) SELECT symbol, date, round(close * adj, 6) AS close, round(volume / adj, 6) AS volume FROM x")
+def c14_apply_manual(spark, sf):
+    """Manual rows twice over, on days with and without a bar, some applied before, some unreadable, some of unknown symbols; applied a second time too."""
+    b = W(spark, sf)
+    row = lambda where, day, factor: b.filter(where).select(F.col("symbol").cast("string").alias("symbol"), day.cast("string").alias("ex_date"), F.lit(factor).alias("factor"))
+    due = row("t % 89 = 7", F.date_add("date", 1), "0.5").unionByName(row("t % 89 = 40", F.col("date"), " 2.0"))
+    done = row("t % 89 = 60", F.col("date"), "0.1")
+    other = row("t % 89 = 61", F.col("date"), "half").unionByName(row("t % 89 = 62", F.lit("soon"), "0.5")).unionByName(row("t % 89 = 63", F.col("date"), "0.5").withColumn("symbol", F.lit("none such")))
+    manual = due.unionByName(due).unionByName(done).unionByName(other)
+    once, applied = A.apply_manual(b, manual, done)
+    twice, _ = A.apply_manual(once.drop("adj"), manual, applied)
+    return twice.select("symbol", "date", F.round("close", 6).alias("close"), F.round("volume", 6).alias("volume"))
