@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.exprs import r6
 from tickloom.functions.sqltext import div, r
 from tickloom.operators import candles as C
+from tickloom.operators import charts
 from tickloom.operators import crosssection as X
 from tickloom.operators import events as Ev
 from tickloom.operators import features as Fe
@@ -203,3 +204,11 @@ query(
     Q.EVENTS + _cb + _kb + f", c1 AS (SELECT {_known} FROM {_cl}), c2 AS (SELECT {', '.join(f'count_if({n} <> 0)::BIGINT AS {n}' for n in C.NAMES)} FROM {_kl}), ct AS (SELECT 'Indicator' AS type, '' AS family, name, n FROM (UNPIVOT c1 ON COLUMNS(*) INTO NAME name VALUE n) UNION ALL SELECT 'Candlestick', '', name, n FROM (UNPIVOT c2 ON COLUMNS(*) INTO NAME name VALUE n) "
     f"UNION ALL SELECT 'Pattern', family, pattern, count(*) FROM ev GROUP BY 1, 2, 3) SELECT type, family, name, n, name IN ({_model}) AS in_model FROM ct", dates=(),
 )(lambda s, f: R.catalogue(derive(W(s, f), Fe.COLUMNS, _listed["Indicator"]), _listed["Indicator"], derive(W(s, f), C.COLUMNS, C.NAMES), C.NAMES, Q.some_events(s, f), M.FEATURES))
+
+
+# ---- last-bar pattern features of every pattern of bars and weeks ------------------------------------------------------------
+VOCABULARY = sorted({n for p in P.PATTERNS for n in p.names} | set(charts.WEEKLY))
+query(
+    "c18_all_patterns",
+    Q.EVENTS + " SELECT n.symbol, " + ", ".join(f"{e} AS {k}" for k, e in Q._cnt.items() if k != "net_20") + ", " + ", ".join("round(coalesce(max(CASE WHEN pattern = '{}' AND n - ev.t <= 30 THEN exp(-(n - ev.t) / 10.0) END), 0.0), 6) AS {}".format(p.replace("'", "''"), P.pattern_id(p)) for p in VOCABULARY) + " FROM n LEFT JOIN ev USING (symbol) GROUP BY n.symbol", dates=(),
+)(lambda s, f: (lambda e, b: P.pattern_counts(e, b).select("symbol", *[k for k in Q._cnt if k != "net_20"]).join(P.pattern_decay(e, b, VOCABULARY), "symbol"))(Q.some_events(s, f), W(s, f)))
