@@ -25,3 +25,19 @@ def test_trades_are_not_sorted_by_call(spark):
     df = registry.QUERIES["c9_trade_eval"](spark, SF)
     assert "SortAggregate" not in plan_of(df)
     assert exchanges(df) <= 2  # of the lines, for calls and for bars
+
+
+def test_market_average_shuffles_no_pairs(spark):
+    """Pairs of a symbol and a span are joined with broadcast spans only, and averaged before the exchange."""
+    bars = B.walk(spark, SF)
+    calls = spark.createDataFrame([("1995-03-01", "1995-03-09"), ("1995-03-01", "1995-03-09"), ("1996-01-02", "2001-01-01")], "d0 string, d1 string").selectExpr("date(d0) AS d0", "date(d1) AS d1")
+    df = L.market_average(calls, bars)
+    assert "SortMergeJoin" not in plan_of(df)
+    got = {(str(r.d0), str(r.d1)): round(r.mkt, 9) for r in df.collect()}
+    closes = {(r.symbol, str(r.date)): r.close for r in bars.collect()}
+    want = {}
+    for d0, d1 in {("1995-03-01", "1995-03-09"), ("1996-01-02", "2001-01-01")}:
+        both = [closes[s, d1] / c - 1 for (s, d), c in closes.items() if d == d0 and (s, d1) in closes]
+        if both:
+            want[d0, d1] = round(sum(both) / len(both), 9)
+    assert got == want
