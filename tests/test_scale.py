@@ -1,7 +1,7 @@
 """Plans that keep shuffles and sorts in proportion to the input."""
 
 from tickloom.plans import ledger as L
-from tickloom.plans import registry
+from tickloom.plans import registry, registry4  # noqa: F401  the others add to registry
 from tickloom.sources import bars as B
 
 SF = "/root/testdata/sf0.001"
@@ -41,3 +41,9 @@ def test_market_average_shuffles_no_pairs(spark):
         if both:
             want[d0, d1] = round(sum(both) / len(both), 9)
     assert got == want
+
+
+def test_features_of_patterns_compute_events_once(spark):
+    """One grouped map (of true ranges) in the whole plan: counts and decays come from one aggregation."""
+    df = registry.QUERIES["c18_last_bar_patterns"](spark, SF)
+    assert sum("FlatMapGroups" in x and "+-" in x for x in plan_of(df).splitlines()) == 1
