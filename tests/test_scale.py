@@ -1,7 +1,9 @@
 """Plans that keep shuffles and sorts in proportion to the input."""
 
+from tickloom.operators import indicators as I
+from tickloom.operators.tables import derive
 from tickloom.plans import ledger as L
-from tickloom.plans import registry, registry4  # noqa: F401  the others add to registry
+from tickloom.plans import registry, registry3, registry4  # noqa: F401  the others add to registry
 from tickloom.sources import bars as B
 
 SF = "/root/testdata/sf0.001"
@@ -47,3 +49,12 @@ def test_features_of_patterns_compute_events_once(spark):
     """One grouped map (of true ranges) in the whole plan: counts and decays come from one aggregation."""
     df = registry.QUERIES["c18_last_bar_patterns"](spark, SF)
     assert sum("FlatMapGroups" in x and "+-" in x for x in plan_of(df).splitlines()) == 1
+
+
+def test_grouped_maps_take_what_is_due(spark):
+    """Columns that nothing later reads don't pass through Python and its exchange; values stay as they are with all columns."""
+    bars = B.walk(spark, SF).filter("symbol < 3")
+    few, all_ = (derive(bars, I.COLUMNS, ["rsi14"], only=only) for only in (True, False))
+    assert "deliv_qty" not in few.columns and "high" not in few.columns and "deliv_qty" in all_.columns
+    rows = lambda df: sorted((r.symbol, r.date, r.rsi14) for r in df.collect() if r.rsi14 is not None)
+    assert rows(few) == rows(all_) != []
