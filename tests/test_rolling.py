@@ -75,3 +75,11 @@ def test_no_frame_is_summed_anew_for_each_bar(spark, name):
     plan = registry.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not any(f in plan for f in ("regr_", "var_samp", "skewness", "kurtosis", "covar_samp"))
     assert sum("Exchange hashpartitioning" in x for x in plan.splitlines()) == 1
+
+
+def test_equal_averages_are_equal(spark):
+    """Every average of an even number of bars is 0.4, but sums of 0.1 and 0.7 in floating point differ in their last bits."""
+    bars = spark.createDataFrame([("a", k, (k % 2) * 0.6 + 0.1) for k in range(260)], "symbol string, date int, close double")
+    got = W.sma_stack(bars).collect()
+    assert len(got) == 260 and {r.sma50_gt_sma200 for r in got} == {0.0}
+    assert {(r.stack_up, r.stack_down) for r in got} == {(0.0, 0.0)}
