@@ -1,5 +1,6 @@
 """Plans that keep shuffles and sorts in proportion to the input."""
 
+from tickloom.operators import charts
 from tickloom.operators import indicators as I
 from tickloom.operators.tables import derive
 from tickloom.plans import ledger as L
@@ -58,3 +59,11 @@ def test_grouped_maps_take_what_is_due(spark):
     assert "deliv_qty" not in few.columns and "high" not in few.columns and "deliv_qty" in all_.columns
     rows = lambda df: sorted((r.symbol, r.date, r.rsi14) for r in df.collect() if r.rsi14 is not None)
     assert rows(few) == rows(all_) != []
+
+
+def test_chart_patterns_shuffle_no_candidates(spark):
+    """Candidates meet their bars in arrays: the walk's exchange, and one of what crosses or ranks, and no join."""
+    plan = plan_of(charts.chart_patterns(B.walk(spark, SF)))
+    assert "Join" not in plan
+    assert sum("Exchange hashpartitioning" in x for x in plan.splitlines()) == 2
+    assert sum("FlatMapGroups" in x and "+-" in x for x in plan.splitlines()) == 1
