@@ -5,8 +5,10 @@ import statistics
 
 import pytest
 
+from tickloom.functions.sqltext import roll
 from tickloom.operators import windows as W
-from tickloom.plans import registry
+from tickloom.operators.tables import derive
+from tickloom.plans import registry, registry3  # noqa: F401  the other adds to registry
 
 SF = "/root/testdata/sf0.001"
 
@@ -83,3 +85,23 @@ def test_equal_averages_are_equal(spark):
     got = W.sma_stack(bars).collect()
     assert len(got) == 260 and {r.sma50_gt_sma200 for r in got} == {0.0}
     assert {(r.stack_up, r.stack_down) for r in got} == {(0.0, 0.0)}
+
+
+def test_long_frames_of_columns_are_added_once(spark):
+    """Declared rolling aggregates over more than 16 bars are no windows, and give a window's values to the last bit, nulls and short starts included."""
+    values = [(None if k % 13 == 5 else 100 + math.sin(k) * (k % 7), 1.0) for k in range(90)] + [(0.09, 1.0)] * 40
+    df = rows_of(spark, values)
+    columns = {f"{how}_{n}_{few}": roll(how, "x", n, few) for how in ("mean", "sum", "std", "var", "pvar", "max", "min") for n, few in ((17, 17), (20, 1), (60, 30), (200, 120))}
+    columns["apart"] = f"x - ({roll('mean', 'x', 50, 10)})"
+    got = derive(df, columns, list(columns))
+    assert "-19, currentrow" not in got._jdf.queryExecution().executedPlan().toString()
+    want = df.selectExpr("*", *[f"({c}) AS {n}" for n, c in columns.items()])
+    assert "-19, currentrow" in want._jdf.queryExecution().executedPlan().toString()
+    rows = lambda d: [tuple(r) for r in d.select("date", *columns).orderBy("date").collect()]
+    assert rows(got) == rows(want)
+
+
+@pytest.mark.parametrize("name", ["feat_levels", "feat_averages", "sig_smoothed", "sig_kernels"])
+def test_no_long_average_is_a_window(spark, name):
+    plan = registry.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert not any(f"RowFrame, -{n - 1}, currentrow" in plan for n in (20, 50, 150, 200, 252))
