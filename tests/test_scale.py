@@ -4,7 +4,7 @@ from tickloom.operators import charts
 from tickloom.operators import indicators as I
 from tickloom.operators.tables import derive
 from tickloom.plans import ledger as L
-from tickloom.plans import registry, registry3, registry4  # noqa: F401  the others add to registry
+from tickloom.plans import registry, registry3, registry4, registry8  # noqa: F401  the others add to registry
 from tickloom.sources import bars as B
 
 SF = "/root/testdata/sf0.001"
@@ -67,3 +67,11 @@ def test_chart_patterns_shuffle_no_candidates(spark):
     assert "Join" not in plan
     assert sum("Exchange hashpartitioning" in x for x in plan.splitlines()) == 2
     assert sum("FlatMapGroups" in x and "+-" in x for x in plan.splitlines()) == 1
+
+
+def test_facts_of_a_session_pass_python_what_is_due(spark, monkeypatch):
+    seen, real = [], registry8.derive
+    monkeypatch.setattr(registry8, "derive", lambda *a, **how: seen.append(how.get("only")) or real(*a, **how))
+    registry8.session_facts(spark, SF)
+    registry.QUERIES["r8_catalogue"](spark, SF)
+    assert seen == [True] * 3
