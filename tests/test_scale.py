@@ -1,6 +1,6 @@
 """Plans that keep shuffles and sorts in proportion to the input."""
 
-from tickloom.operators import charts
+from tickloom.operators import charts, figures, patterns
 from tickloom.operators import indicators as I
 from tickloom.operators.tables import derive
 from tickloom.plans import ledger as L
@@ -75,3 +75,29 @@ def test_facts_of_a_session_pass_python_what_is_due(spark, monkeypatch):
     registry8.session_facts(spark, SF)
     registry.QUERIES["r8_catalogue"](spark, SF)
     assert seen == [True] * 3
+
+
+def windows(df) -> int:
+    return sum("Window [" in x for x in plan_of(df).splitlines())
+
+
+def test_bar_patterns_share_one_grouped_map(spark):
+    """All bar patterns read a symbol's bars in one map, with no windows but those that make the bars."""
+    bars = B.walk(spark, SF)
+    df = patterns.all_events(bars)
+    assert sum("FlatMapGroups" in x for x in plan_of(df).splitlines()) == 1
+    assert windows(df) <= windows(bars)
+
+
+def test_darvas_boxes_need_no_window(spark):
+    bars = B.walk(spark, SF)
+    assert windows(figures.darvas(bars)) <= windows(bars)
+
+
+def test_templates_are_chosen_for_candidates_not_for_bars(spark):
+    """What a candidate counts is computed once, not again by the filter on it, and by its own template's text."""
+    c = charts.candidates(charts.stretches(charts.walks(B.walk(spark, SF)), "dates", *charts.PRICES))
+    plan = charts.counted(c)._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" in plan
+    assert not any("Filter" in x and "aggregate(" in x for x in plan.splitlines())
+    assert all("template" not in charts.crossing_text(x) for x in charts.TEMPLATES)
