@@ -100,3 +100,8 @@ def test_templates_are_chosen_for_candidates_not_for_bars(spark):
     assert "aggregate(" in plan
     assert not any("Filter" in x and "aggregate(" in x for x in plan.splitlines())
     assert all("template" not in charts.crossing_text(x) for x in charts.TEMPLATES)
+
+
+def test_columns_that_shown_texts_read_stay(spark):
+    """Texts over the wanted columns may read the bars' own too, which no grouped map drops then."""
+    assert "ta_SMA" in registry.QUERIES["ta_features"](spark, SF).columns
