@@ -105,3 +105,9 @@ def test_templates_are_chosen_for_candidates_not_for_bars(spark):
 def test_columns_that_shown_texts_read_stay(spark):
     """Texts over the wanted columns may read the bars' own too, which no grouped map drops then."""
     assert "ta_SMA" in registry.QUERIES["ta_features"](spark, SF).columns
+
+
+def test_kernels_keep_the_partitions(spark):
+    """Kernels between windows, several times over, need no exchange but that of the bars."""
+    for name in ("ta_momentum", "feat_kernels", "sig_candles", "sig_smoothed"):
+        assert exchanges(registry.QUERIES[name](spark, SF)) == 1
