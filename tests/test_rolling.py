@@ -3,6 +3,7 @@
 import math
 import statistics
 
+import numpy as np
 import pytest
 
 from tickloom.functions.sqltext import roll
@@ -105,3 +106,24 @@ def test_long_frames_of_columns_are_added_once(spark):
 def test_no_long_average_is_a_window(spark, name):
     plan = registry.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not any(f"RowFrame, -{n - 1}, currentrow" in plan for n in (20, 50, 150, 200, 252))
+
+
+def test_beta_is_that_of_a_loop_and_no_frame(spark):
+    """Windows that aren't full count from 0.8 of their bars on; values that don't vary give none; nothing is summed anew for each bar."""
+    values = [(float(k * k % 11), math.sin(k) * (k % 7)) for k in range(90)] + [(1.5, 2.0)] * 70
+    values[3], values[30] = (None, 1.0), (2.0, None)
+    y, x = (np.array([math.nan if v[i] is None else v[i] for v in values]) for i in (0, 1))
+    got = list(zip(*W.beta_and_corr(60)(y, x), strict=True))
+    for k, (beta, both) in enumerate(got):
+        w = values[max(0, k - 59) : k + 1]
+        pairs = [v for v in w if None not in v]
+        xs = [v[1] for v in w if v[1] is not None]
+        if len(pairs) < 48 or statistics.variance(xs) <= 1e-12:
+            assert math.isnan(beta) and math.isnan(both), k
+            continue
+        my, mx = (statistics.mean(v[i] for v in pairs) for i in (0, 1))
+        covar = sum((y - my) * (x - mx) for y, x in pairs) / (len(pairs) - 1)
+        assert beta == pytest.approx(covar / statistics.variance(xs), rel=1e-9, abs=1e-12), k
+        assert both == pytest.approx(corr(pairs)[0], rel=1e-9, abs=1e-12), k
+    plan = registry.QUERIES["w6_beta_corr"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "covar_samp" not in plan and "var_samp" not in plan
