@@ -111,3 +111,8 @@ def test_kernels_keep_the_partitions(spark):
     """Kernels between windows, several times over, need no exchange but that of the bars."""
     for name in ("ta_momentum", "feat_kernels", "sig_candles", "sig_smoothed"):
         assert exchanges(registry.QUERIES[name](spark, SF)) == 1
+
+
+def test_divergences_exchange_bars_and_points_only(spark):
+    """The oscillators and ranges that swing points read are made where the bars are."""
+    assert exchanges(registry.QUERIES["g20_divergences"](spark, SF)) <= 2
