@@ -116,3 +116,8 @@ def test_kernels_keep_the_partitions(spark):
 def test_divergences_exchange_bars_and_points_only(spark):
     """The oscillators and ranges that swing points read are made where the bars are."""
     assert exchanges(registry.QUERIES["g20_divergences"](spark, SF)) <= 2
+
+
+def test_the_catalogue_exchanges_no_features(spark):
+    """An exchange of each walk over the bars, and those of weeks and of events; none between levels of columns."""
+    assert exchanges(registry.QUERIES["r8_catalogue"](spark, SF)) <= 5
